@@ -23,6 +23,7 @@ from sunsieve.plans.refresh import refresh
 from sunsieve.schema import IRRADIANCE, MEASURES, STATION, TIME, WIND
 from sunsieve.sources import files, tables
 from sunsieve.sources.shared import shared_folder
+from sunsieve.streaming.arrivals import keep_appending
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,12 +158,16 @@ def solar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One row per day and supplier: 4096 days are 4096 rows at most.
+DAILY_CHUNK = 4096
+
+
 def impute_many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return impute(series_by_supplier(spark, sf_dir))
+    return impute(series_by_supplier(spark, sf_dir), chunk_days=DAILY_CHUNK)
 
 
 def hampel_many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hampel(series_by_supplier(spark, sf_dir), ["power", "nwp_windspeed"])
+    return hampel(series_by_supplier(spark, sf_dir), ["power", "nwp_windspeed"], chunk_days=DAILY_CHUNK)
 
 
 def load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +256,18 @@ def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/table").drop(tables.DAY)
 
 
+def arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream, dark at night, appended; then the same stream once more."""
+    folder = shared_folder(spark, "arrivals")
+    shape = table(spark, sf_dir, "events").schema
+    lines = spark.readStream.schema(shape).parquet(f"{sf_dir}/events.parquet*")
+    rows = lines.select(F.col("user_id").alias(STATION), F.col("ts").alias(TIME), F.col("value").alias("power"))
+    for attempt in ("first", "again"):
+        stream = zero_at_night(rows, ["power"])
+        keep_appending(stream, f"{folder}/table", f"{folder}/{attempt}").awaitTermination()
+    return spark.read.parquet(f"{folder}/table").drop(tables.DAY)
+
+
 def _rolled(step) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = readings(spark, sf_dir).select(STATION, TIME, *WIND, "nwp_globalirrad")
@@ -302,6 +319,7 @@ def queries() -> dict[str, Query]:
         "clean_fresh_deltas": _on_readings(lambda df: clean(with_deltas(df), recompute_deltas=True)),
         "clean_metrics": _on_readings(stage_metrics),
         "refresh": refreshed,
+        "arrivals": arrived,
         "load_id": load_ids,
         "fingerprint": _on_readings(tables.fingerprint),
         "idempotent_append": idempotent_append,

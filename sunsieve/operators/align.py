@@ -55,16 +55,31 @@ def enforce_schema(df: DataFrame) -> DataFrame:
     )
 
 
+def one_per_cell(df: DataFrame) -> DataFrame:
+    """The rows, or an error while running if a station has two in one cell.
+
+    Copies meet in a grouping, partly before the shuffle, so they never multiply in
+    a join; the join on the same keys needs no further shuffle.
+    """
+    rest = [c for c in df.columns if c not in (STATION, TIME)]
+    cells = df.groupBy(STATION, TIME).agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in rest))
+    single = F.when(F.col("_n") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("rows of one station share the time "), F.col(TIME).cast("string")))
+    )
+    return cells.where(single).select(*df.columns)
+
+
 def align_join(
     forecast: DataFrame, measured: DataFrame, how: str = "inner", minutes: int = GRID_MINUTES
 ) -> DataFrame:
     """Join two feeds on station and grid cell. Sides must not share other columns.
 
-    Which side to broadcast, if any, is left to the statistics Spark measures.
+    Which side to broadcast, if any, is left to the sizes Spark measures.
     """
     if how not in ("inner", "left", "full"):
         raise ValueError("how must be inner, left or full")
-    return on_grid(forecast, minutes).join(on_grid(measured, minutes), [STATION, TIME], how)
+    left, right = (one_per_cell(on_grid(side, minutes)) for side in (forecast, measured))
+    return left.join(right, [STATION, TIME], how)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

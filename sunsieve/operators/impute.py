@@ -32,7 +32,10 @@ def _rows_of(order: Sequence[str], direction: str) -> str:
 
 
 def _outside(rows: DataFrame, columns: Sequence[str], back: bool, ahead: bool) -> DataFrame:
-    """One row per piece: rows before it in the series, nearest values outside it."""
+    """One row per piece: the nearest values outside it and where they are.
+
+    Positions count from the piece that asks: 0 is the row before its first.
+    """
     parts = ["max(_pos) AS _rows"]
     for c in columns:
         at = f"CASE WHEN `{c}` IS NOT NULL THEN _pos END"
@@ -43,56 +46,49 @@ def _outside(rows: DataFrame, columns: Sequence[str], back: bool, ahead: bool) -
     pieces = rows.groupBy(*KEYS).agg(*map(F.expr, parts))
     pieces = pieces.selectExpr("*", f"coalesce(sum(_rows) OVER ({_PIECES_UP}), 0L) AS _start")
 
-    def nearest(edge: str, c: str, window: str, name: str) -> str:
-        found = f"named_struct('at', _start + `_{edge}_at_{c}`, 'value', `_{edge}_{c}`)"
-        return f"last(CASE WHEN `_{edge}_at_{c}` IS NOT NULL THEN {found} END, true) OVER ({window}) AS `_{name}_{c}`"
+    def nearest(edge: str, c: str, window: str, name: str) -> list[str]:
+        at = f"last(_start + `_{edge}_at_{c}`, true) OVER ({window}) - _start AS `_{name}_at_{c}`"
+        return [at, f"last(`_{edge}_{c}`, true) OVER ({window}) AS `_{name}_{c}`"]
 
-    found = [nearest("last", c, _PIECES_UP, "before") for c in columns if back]
-    found += [nearest("first", c, _PIECES_DOWN, "after") for c in columns if ahead]
-    return pieces.selectExpr(*KEYS, "_start", *found)
+    found = [e for c in columns if back for e in nearest("last", c, _PIECES_UP, "before")]
+    found += [e for c in columns if ahead for e in nearest("first", c, _PIECES_DOWN, "after")]
+    return pieces.selectExpr(*KEYS, *found)
 
 
 def _with_neighbours(df: DataFrame, columns: Sequence[str], back: bool, ahead: bool) -> DataFrame:
-    """Add `_at` (position in the series) and structs `_p_*`, `_n_*` of (at, value)."""
+    """Add the row's position and the nearest values in and outside its piece."""
     order = in_order(df, columns)
     up, down = _rows_of(order, "ASC"), _rows_of(order, "DESC")
     rows = df.selectExpr("*", f"row_number() OVER ({up}) AS _pos")
     outside = _outside(rows, columns, back, ahead)
 
-    def inside(c: str, window: str, name: str) -> str:
-        known = f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('at', _pos, 'value', `{c}`) END"
-        return f"last({known}, true) OVER ({window} {_TO_HERE}) AS `_in_{name}_{c}`"
+    def inside(c: str, window: str, name: str) -> list[str]:
+        at = f"last(CASE WHEN `{c}` IS NOT NULL THEN _pos END, true)"
+        return [
+            f"{at} OVER ({window} {_TO_HERE}) AS `_{name}_at_{c}`",
+            f"last(`{c}`, true) OVER ({window} {_TO_HERE}) AS `_{name}_{c}`",
+        ]
 
-    def nearest(c: str, name: str, elsewhere: str) -> str:
-        here = f"`_in_{name}_{c}`"
-        moved = f"named_struct('at', _start + {here}.at, 'value', {here}.value)"
-        return f"CASE WHEN {here} IS NOT NULL THEN {moved} ELSE `_{elsewhere}_{c}` END AS `_{name}_{c}`"
-
-    rows = rows.selectExpr(
+    return rows.selectExpr(
         "*",
-        *(inside(c, up, "p") for c in columns if back),
-        *(inside(c, down, "n") for c in columns if ahead),
-    )
-    return rows.join(outside, list(KEYS)).selectExpr(
-        *(f"`{c}`" for c in df.columns),
-        "_start + _pos AS _at",
-        *(nearest(c, "p", "before") for c in columns if back),
-        *(nearest(c, "n", "after") for c in columns if ahead),
-    )
-
-
-def _line(c: str) -> str:
-    """Value on the line between the neighbours; null unless both exist."""
-    slope = f"(`_n_{c}`.value - `_p_{c}`.value) / (`_n_{c}`.at - `_p_{c}`.at)"
-    return f"CASE WHEN `{c}` IS NULL THEN `_p_{c}`.value + (_at - `_p_{c}`.at) * ({slope}) END"
+        *(e for c in columns if back for e in inside(c, up, "p")),
+        *(e for c in columns if ahead for e in inside(c, down, "n")),
+    ).join(outside, list(KEYS))
 
 
 def _before(c: str) -> str:
-    return f"`_p_{c}`.value"
+    return f"coalesce(`_p_{c}`, `_before_{c}`)"
 
 
 def _after(c: str) -> str:
-    return f"`_n_{c}`.value"
+    return f"coalesce(`_n_{c}`, `_after_{c}`)"
+
+
+def _line(c: str) -> str:
+    """Value on the line between the neighbours; null unless both exist."""
+    low_at, high_at = f"coalesce(`_p_at_{c}`, `_before_at_{c}`)", f"coalesce(`_n_at_{c}`, `_after_at_{c}`)"
+    slope = f"({_after(c)} - {_before(c)}) / ({high_at} - {low_at})"
+    return f"CASE WHEN `{c}` IS NULL THEN {_before(c)} + (_pos - {low_at}) * ({slope}) END"
 
 
 def _filled(df: DataFrame, columns: Sequence[str], *choices: Callable[[str], str]) -> DataFrame:

@@ -299,6 +299,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "clean_metrics": _stage_metrics(),
         "refresh": clean,
+        "arrivals": (
+            "SELECT user_id AS station_id, ts AS date_time, "
+            f"CASE WHEN {_elevation('ts')} <= 0 THEN 0.0::DOUBLE ELSE value END AS power FROM events"
+        ),
         "load_id": (
             "SELECT o_orderkey, 'pvod_load_' || md5('gold/' || o_orderkey || '.parquet' || 'p' || 'd' || "
             "o_orderpriority || md5(o_orderstatus)) AS load_id FROM orders"
