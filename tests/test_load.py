@@ -1,0 +1,187 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+import stations
+from sunsieve.errors import AlignmentError, BoundsError, EmptySource, SourceUnavailable, TransformError
+from sunsieve.operators.align import align_join, enforce_schema, on_grid, union_all
+from sunsieve.schema import DELTAS, FINAL_SCHEMA, FINAL_TYPES, MEASURES, STATION, TIME
+from sunsieve.sources.files import consolidate, load_readings, read_csv, read_first_available, write_csv
+
+
+def load(spark, tmp_path, changes=None, **options):
+    return load_readings(spark, stations.write(tmp_path / "in.csv", stations.rows(changes)), **options)
+
+
+def test_clean_file_loads_whole(spark, tmp_path):
+    df = load(spark, tmp_path)
+    assert df.count() == 960
+    assert dict(df.dtypes)[STATION] == "smallint"
+    assert dict(df.dtypes)[TIME] == "timestamp_ntz"
+    assert all(dict(df.dtypes)[c] == "double" for c in (*MEASURES, *DELTAS))
+
+
+def test_deltas_are_forecast_minus_measurement(spark, tmp_path):
+    df = load(spark, tmp_path, stations.NULLS)
+    for name, (nwp, lmd) in DELTAS.items():
+        assert df.where(~F.col(name).eqNullSafe(F.col(nwp) - F.col(lmd))).isEmpty()
+    assert df.where("delta_temperature IS NULL").count() == 3
+
+
+def test_header_order_does_not_matter(spark, tmp_path):
+    header = [TIME, *MEASURES, STATION]
+    path = stations.write(tmp_path / "last.csv", stations.rows(), header)
+    other = load(spark, tmp_path)
+    assert load_readings(spark, path).select(other.columns).exceptAll(other).isEmpty()
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    stations.write(folder / "a.csv", stations.rows()[:5])
+    stations.write(folder / "b.csv", stations.rows()[5:9], [TIME, *MEASURES, STATION])
+    with pytest.raises(Exception):
+        read_csv(spark, str(folder)).collect()
+
+
+@pytest.mark.parametrize("token", ["", "NA", "null", "NaN"])
+def test_missing_tokens_become_null(spark, tmp_path, token):
+    df = load(spark, tmp_path, {(3, 7): {"nwp_humidity": token}})
+    assert df.where("nwp_humidity IS NULL").count() == 1
+    assert df.where("isnan(nwp_humidity)").isEmpty()
+
+
+def test_other_text_in_a_number_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception):
+        load(spark, tmp_path, {(3, 7): {"nwp_humidity": " NA"}}).collect()
+
+
+def test_times_are_floored(spark, tmp_path):
+    df = load(spark, tmp_path, {(0, 3): {TIME: "2018-07-01 00:52"}})
+    found = df.where((F.col(STATION) == 0) & (F.hour(TIME) == 0)).select(TIME).collect()
+    assert max(r[0] for r in found) == datetime(2018, 7, 1, 0, 45)
+
+
+def test_floor_keeps_null_and_drops_fractions(spark):
+    df = spark.sql("SELECT timestamp_ntz'1969-12-31 23:52:59.5' AS date_time UNION ALL SELECT NULL")
+    found = {r[0] for r in on_grid(df).collect()}
+    assert found == {datetime(1969, 12, 31, 23, 45), None}
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Shanghai"])
+def test_floor_does_not_depend_on_the_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:38:00' AS date_time")
+        assert on_grid(df).select(F.col(TIME).cast("string")).first()[0] == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("station", ["256", "-1"])
+def test_station_out_of_range_is_an_error(spark, tmp_path, station):
+    df = load(spark, tmp_path, {(9, 95): {STATION: station}}, strict=False)
+    with pytest.raises(Exception, match="station_id out of"):
+        df.collect()
+
+
+def test_duplicates_abort(spark, tmp_path):
+    with pytest.raises(AlignmentError, match="1 duplicate"):
+        load(spark, tmp_path, {(4, 5): {TIME: "2018-07-01 01:05"}})
+
+
+def test_null_times_of_a_station_are_duplicates(spark, tmp_path):
+    with pytest.raises(AlignmentError):
+        load(spark, tmp_path, {(4, 5): {TIME: "NA"}, (4, 6): {TIME: ""}})
+    assert load(spark, tmp_path, {(4, 5): {TIME: "NA"}, (5, 6): {TIME: ""}}).where("date_time IS NULL").count() == 2
+
+
+def test_off_grid_aborts_on_demand_only(spark, tmp_path):
+    change = {(0, 95): {TIME: "2018-07-01 23:46"}}
+    assert load(spark, tmp_path, change).count() == 960
+    with pytest.raises(AlignmentError, match="off the grid"):
+        load(spark, tmp_path, change, strict_grid=True)
+
+
+def test_bounds_abort_with_count_and_range(spark, tmp_path):
+    with pytest.raises(BoundsError, match="nwp_globalirrad: 1 values out of range, from -50.0"):
+        load(spark, tmp_path, stations.NEGATIVE)
+
+
+def test_missing_columns_are_named(spark, tmp_path):
+    path = stations.write(tmp_path / "thin.csv", stations.rows()[:2], [TIME, STATION])
+    with pytest.raises(TransformError, match="nwp_globalirrad"):
+        load_readings(spark, path)
+
+
+def test_first_available_source_wins(spark, tmp_path):
+    one = stations.write(tmp_path / "one.csv", stations.rows()[:1], [TIME, STATION])
+    found = read_first_available(spark, [str(tmp_path / "none.csv"), one])
+    assert found.columns == [TIME, STATION] and found.count() == 1
+
+
+def test_no_source_left(spark, tmp_path):
+    with pytest.raises(SourceUnavailable, match="none of"):
+        read_first_available(spark, [str(tmp_path / "x.csv"), "nosuchstore://y/z.csv"])
+
+
+def test_an_empty_source_ends_the_search(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    full = stations.write(tmp_path / "full.csv", stations.rows()[:1])
+    with pytest.raises(EmptySource):
+        read_first_available(spark, [str(tmp_path / "empty.csv"), full])
+
+
+def test_station_files_become_one_table(spark, tmp_path):
+    header = [TIME, *MEASURES]
+    for s in range(10):
+        stations.write(tmp_path / f"station{s:02d}.csv", [stations.row(s, i) for i in range(4)], header)
+    df = consolidate(spark, str(tmp_path))
+    assert df.columns == [*header, STATION]
+    assert df.groupBy(STATION).count().where("count = 4").count() == 10
+    write_csv(df, str(tmp_path / "all"))
+    assert load_readings(spark, str(tmp_path / "all")).count() == 40
+
+
+def test_a_missing_station_file_aborts(spark, tmp_path):
+    stations.write(tmp_path / "station00.csv", stations.rows()[:1])
+    with pytest.raises(SourceUnavailable):
+        consolidate(spark, str(tmp_path))
+
+
+def test_final_schema(spark, tmp_path):
+    df = load(spark, tmp_path).withColumn("more", F.lit(1)).select("more", *reversed(list(FINAL_TYPES)))
+    final = enforce_schema(df)
+    assert [(f.name, f.dataType) for f in final.schema] == [(f.name, f.dataType) for f in FINAL_SCHEMA]
+    assert final.count() == 960
+    with pytest.raises(TransformError, match=r"\['lmd_pressure', 'power'\]"):
+        enforce_schema(df.drop("power", "lmd_pressure"))
+
+
+def feed(spark, rows, name):
+    return spark.createDataFrame(rows, f"station_id int, t string, {name} double").select(
+        STATION, F.to_timestamp_ntz("t").alias(TIME), name
+    )
+
+
+def test_align_join_floors_both_sides(spark):
+    left = feed(spark, [(1, "2024-01-01 00:07:00", 1.0), (2, "2024-01-01 00:00:00", 2.0)], "f")
+    right = feed(spark, [(1, "2024-01-01 00:14:59", 3.0), (3, "2024-01-01 00:00:00", 4.0)], "m")
+    counts = {how: align_join(left, right, how).count() for how in ("inner", "left", "full")}
+    assert counts == {"inner": 1, "left": 2, "full": 3}
+    assert align_join(left, right).first()["m"] == 3.0
+
+
+def test_align_join_refuses_two_rows_in_a_cell(spark):
+    left = feed(spark, [(1, "2024-01-01 00:01:00", 1.0), (1, "2024-01-01 00:02:00", 2.0)], "f")
+    with pytest.raises(Exception, match="share the time"):
+        align_join(left, feed(spark, [(1, "2024-01-01 00:00:00", 3.0)], "m")).collect()
+
+
+def test_union_needs_equal_schemas(spark):
+    one = spark.range(2)
+    assert union_all([one, one, one]).count() == 6
+    with pytest.raises(TransformError):
+        union_all([one, one.withColumn("id", F.col("id").cast("int"))])
