@@ -7,7 +7,7 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
-from sunsieve.operators.checks import gaps
+from sunsieve.operators.checks import _steps, gaps
 from sunsieve.operators.hampel import hampel, rolling_mad, rolling_median
 from sunsieve.operators.impute import backward_fill, forward_fill, impute, interpolate
 from sunsieve.schema import STATION, TIME
@@ -131,8 +131,6 @@ def test_rolling_values_match_plain_python(spark, days):
 @pytest.mark.parametrize("days", CUTS)
 def test_gaps_match_plain_python(spark, days):
     made = ragged(5)
-    from sunsieve.operators.checks import _steps
-
     steps = {(r[STATION], r[TIME]): r["previous"] for r in _steps(frame(spark, made).select(STATION, TIME), chunk_days=days).collect()}
     assert steps == {(s, t): p for s, series in made.items() for (t, _, _), p in zip(series, [None, *(q for q, _, _ in series)])}
     wide = {(s, b[0]) for s, series in made.items() for a, b in zip(series, series[1:]) if a[0] and (b[0] - a[0]) > timedelta(minutes=15)}
