@@ -238,6 +238,20 @@ def scan_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.scan_estimate(spark, _published(spark, sf_dir, tables.DAY), *SOME_DAYS)
 
 
+def scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the estimate that does not depend on how files are cut."""
+    return scan_estimate(spark, sf_dir).select("partitions")
+
+
+def fingerprint_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether content written, clustered and read again still has its fingerprint."""
+    rows = enforce_schema(with_deltas(readings(spark, sf_dir)))
+    stored = spark.read.parquet(_published(spark, sf_dir, tables.MONTH)).drop(tables.MONTH)
+    both = tables.fingerprint(rows).union(tables.fingerprint(stored))
+    same = (F.min("n_rows") == F.max("n_rows")) & (F.min("content") == F.max("content"))
+    return both.agg(F.max("n_rows").alias("n_rows"), same.alias("kept"))
+
+
 def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same file loaded twice, then the same rows under another name."""
     root, where = shared_folder(spark, "published"), shared_folder(spark, "table")
@@ -289,6 +303,7 @@ def queries() -> dict[str, Query]:
         "row_count_check": _on_readings(checks.row_count),
         "sample_topk": _on_readings(metrics.preview),
         "scan_estimate": scan_estimate,
+        "scan_partitions": scan_partitions,
         "fallback_source": fallback_source,
         "consolidate": consolidated,
         "csv_roundtrip": csv_roundtrip,
@@ -322,6 +337,7 @@ def queries() -> dict[str, Query]:
         "arrivals": arrived,
         "load_id": load_ids,
         "fingerprint": _on_readings(tables.fingerprint),
+        "fingerprint_kept": fingerprint_kept,
         "idempotent_append": idempotent_append,
         "align_join": _join("inner"),
         "align_join_left": _join("left"),

@@ -24,9 +24,8 @@ def out_of_bounds(value: Column, upper: float = SOLAR_CONSTANT) -> Column:
     return value.isNotNull() & ((value < 0) | (value > upper))
 
 
-def middle(values: Column) -> Column:
-    """Median of an array sorted ascending without nulls; null when it is empty."""
-    n = F.size(values)
-    lower = F.get(values, F.floor((n - 1) / 2).cast("int"))
-    upper = F.get(values, F.floor(n / 2).cast("int"))
-    return F.when(n > 0, (lower + upper) / 2)
+def middle(name: str) -> str:
+    """SQL for the median of an array sorted ascending without nulls; null when it is empty."""
+    n = f"size(`{name}`)"
+    lower, upper = (f"get(`{name}`, CAST({at} AS INT))" for at in (f"({n} - 1) DIV 2", f"{n} DIV 2"))
+    return f"CASE WHEN {n} > 0 THEN ({lower} + {upper}) / 2 END"

@@ -7,11 +7,11 @@ window to either side.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunsieve.functions.values import middle
-from sunsieve.operators.series import by_chunk, in_order, per_piece, with_nearby
+from sunsieve.operators.series import KEYS, by_chunk, in_order, with_nearby
 from sunsieve.schema import HAMPEL_FACTOR, HAMPEL_THRESHOLD, HAMPEL_WINDOW, MAD_FLOOR, WIND
 
 
@@ -21,15 +21,20 @@ def _half(window: int) -> int:
     return window // 2
 
 
-def _sorted_in(frame: WindowSpec, column: str) -> Column:
-    return F.sort_array(F.collect_list(column).over(frame))
+def _frame(df: DataFrame, columns: Sequence[str], half: int) -> str:
+    by = ", ".join(f"`{c}`" for c in in_order(df, columns))
+    return f"PARTITION BY {', '.join(KEYS)} ORDER BY {by} ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING"
 
 
-def _medians(df: DataFrame, names: dict[str, str], frame: WindowSpec) -> DataFrame:
-    """Add a column with the median over the frame for each given name: column."""
-    lists = df.withColumns({f"{name}_in": _sorted_in(frame, c) for name, c in names.items()})
-    return lists.withColumns({name: middle(F.col(f"{name}_in")) for name in names}).drop(
-        *(f"{name}_in" for name in names)
+def _medians(df: DataFrame, names: dict[str, str], frame: str) -> DataFrame:
+    """Add a column with the median over the frame for each given name: column.
+
+    A frame holds a few values, so gathering and sorting them beats a percentile.
+    """
+    gathered = (f"sort_array(collect_list(`{c}`) OVER ({frame})) AS `{name}_in`" for name, c in names.items())
+    kept = [f"`{c}`" for c in df.columns]
+    return df.selectExpr(*kept, *gathered).selectExpr(
+        *kept, *(f"{middle(f'{name}_in')} AS `{name}`" for name in names)
     )
 
 
@@ -40,23 +45,22 @@ def rolling_median(
     """Add the rolling median of each column."""
     half = _half(window)
     rows = with_nearby(df, columns, half, half)
-    frame = per_piece(in_order(df, columns)).rowsBetween(-half, half)
-    found = _medians(rows, {c + suffix: c for c in columns}, frame)
+    found = _medians(rows, {c + suffix: c for c in columns}, _frame(df, columns, half))
     return found.where(~F.col("_nearby")).drop("_nearby")
 
 
 def _deviations(df: DataFrame, columns: Sequence[str], window: int) -> DataFrame:
-    """Add `_med_*`, `_dev_*` and `_mad_*` (floored) for each column."""
+    """Add `_med_*`, `_dev_*` and `_mad_*` for each column."""
     half = _half(window)
     rows = with_nearby(df, columns, 2 * half, 2 * half)
-    frame = per_piece(in_order(df, columns)).rowsBetween(-half, half)
+    frame = _frame(df, columns, half)
     rows = _medians(rows, {f"_med_{c}": c for c in columns}, frame)
-    rows = rows.withColumns({f"_dev_{c}": F.abs(F.col(c) - F.col(f"_med_{c}")) for c in columns})
-    rows = _medians(rows, {f"_mad_{c}": f"_dev_{c}" for c in columns}, frame)
-    rows = rows.where(~F.col("_nearby")).drop("_nearby")
-    return rows.withColumns(
-        {f"_mad_{c}": F.greatest(F.col(f"_mad_{c}"), F.lit(MAD_FLOOR)) for c in columns}
-    )
+    rows = rows.selectExpr("*", *(f"abs(`{c}` - `_med_{c}`) AS `_dev_{c}`" for c in columns))
+    return _medians(rows, {f"_mad_{c}": f"_dev_{c}" for c in columns}, frame).where(~F.col("_nearby"))
+
+
+def _floored(c: str) -> str:
+    return f"greatest(`_mad_{c}`, {MAD_FLOOR!r}D)"
 
 
 @by_chunk
@@ -65,7 +69,7 @@ def rolling_mad(
 ) -> DataFrame:
     """Add the rolling median of the deviations from the rolling median, floored."""
     rows = _deviations(df, columns, window)
-    return rows.select(*df.columns, *(F.col(f"_mad_{c}").alias(c + suffix) for c in columns))
+    return rows.selectExpr(*(f"`{c}`" for c in df.columns), *(f"{_floored(c)} AS `{c}{suffix}`" for c in columns))
 
 
 @by_chunk
@@ -81,14 +85,13 @@ def hampel(
     With a flag prefix a boolean column per filtered column tells what was replaced.
     """
     rows = _deviations(df, columns, window)
-    is_outlier = {
-        c: F.col(f"_dev_{c}") > F.lit(threshold * HAMPEL_FACTOR) * F.col(f"_mad_{c}") for c in columns
-    }
-    kept = [
-        F.when(is_outlier[c], F.col(f"_med_{c}")).otherwise(F.col(c)).alias(c) if c in is_outlier else F.col(c)
-        for c in df.columns
-    ]
+    limit = threshold * HAMPEL_FACTOR
+    is_outlier = {c: f"`_dev_{c}` > {limit!r}D * {_floored(c)}" for c in columns}
+
+    def kept(c: str) -> str:
+        return f"CASE WHEN {is_outlier[c]} THEN `_med_{c}` ELSE `{c}` END AS `{c}`" if c in is_outlier else f"`{c}`"
+
     flags = [] if flag_prefix is None else [
-        F.coalesce(is_outlier[c], F.lit(False)).alias(flag_prefix + c) for c in columns
+        f"coalesce({is_outlier[c]}, false) AS `{flag_prefix}{c}`" for c in columns
     ]
-    return rows.select(*kept, *flags)
+    return rows.selectExpr(*(kept(c) for c in df.columns), *flags)

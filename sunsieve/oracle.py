@@ -184,13 +184,13 @@ def _stage_metrics() -> str:
         _night("night", "readings", _ALL),
         *_hampel("calm", "night", _ALL, extra=f", {outliers} AS outliers"),
         *_fill("clean", "calm", _ALL, MEASURES, "impute"),
-        "before AS (SELECT CAST(count(*) AS BIGINT) AS n_rows, "
+        "counts AS (SELECT CAST(count(*) AS BIGINT) AS n_rows, "
         f"CAST(count(*) FILTER (WHERE {_elevation('date_time')} <= 0) AS BIGINT) AS night_rows, "
-        f"CAST(sum(outliers) AS BIGINT) AS outliers, CAST(sum({nulls}) AS BIGINT) AS nulls_before FROM calm)",
-        f"after AS (SELECT CAST(sum({nulls}) AS BIGINT) AS nulls_after FROM clean)",
+        f"CAST(sum(outliers) AS BIGINT) AS outliers, CAST(sum({nulls}) AS BIGINT) AS nulls_before, "
+        f"(SELECT CAST(sum({nulls}) AS BIGINT) FROM clean) AS nulls_after FROM calm)",
         last="SELECT n_rows, night_rows, round(night_rows / greatest(n_rows, 1) * 100, 1) AS night_percent, "
         "outliers, round(outliers / greatest(n_rows * 2, 1) * 100, 3) AS outlier_percent, "
-        "nulls_before, nulls_after, nulls_before - nulls_after AS nulls_resolved FROM before, after",
+        "nulls_before, nulls_after, nulls_before - nulls_after AS nulls_resolved FROM counts",
     )
 
 
@@ -225,6 +225,11 @@ def oracle_sql() -> dict[str, str]:
             "count(*) AS n_rows, CAST(271968 AS BIGINT) AS expected, count(*) = 271968 AS ok"
         ),
         "sample_topk": _from_readings("*", "ORDER BY station_id, date_time LIMIT 5"),
+        "scan_partitions": (
+            "SELECT count(DISTINCT CAST(ts AS DATE)) AS partitions FROM events "
+            f"WHERE CAST(ts AS DATE) BETWEEN DATE '{start[:10]}' AND DATE '{end[:10]}'"
+        ),
+        "fingerprint_kept": _from_readings("count(*) AS n_rows, true AS kept"),
         "fallback_source": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "consolidate": final,
         "csv_roundtrip": final,

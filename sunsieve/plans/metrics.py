@@ -50,7 +50,7 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def scan_estimate(
     spark: SparkSession, table: str, start: Moment, end: Moment, grain: str = DAY
 ) -> DataFrame:
-    """Files and bytes a query over the range would open, without opening any.
+    """Partitions, files and bytes a query over the range would open, without opening any.
 
     One row per file is listed, whatever the rows inside. Whole files count, so
     column pruning makes the true scan smaller.
@@ -64,7 +64,11 @@ def scan_estimate(
     )
     low, high = (partition_of(moment(m), grain) for m in (start, end))
     inside = files.where(F.col(grain).between(low, high))
-    return inside.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    return inside.agg(
+        F.count_distinct(grain).alias("partitions"),
+        F.count("*").alias("files"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+    )
 
 
 def query_average_power(
