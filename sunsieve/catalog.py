@@ -6,7 +6,7 @@ row per station and 15-minute cell, with holes, nulls and outliers.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunsieve.functions.grid import floor_to_grid, off_grid, parse_time
@@ -49,6 +49,11 @@ _PARTS = {
 }
 
 
+def minute_text(name: str) -> Column:
+    """A zone-less time as the station files write it, whatever the session zone."""
+    return F.substring(F.col(name).cast("string"), 1, 16)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -113,8 +118,7 @@ def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.date_format("ts", "yyyy-MM-dd HH:mm")
-    parsed = events(spark, sf_dir).select("event_id", parse_time(text).alias("parsed"))
+    parsed = events(spark, sf_dir).select("event_id", parse_time(minute_text("ts")).alias("parsed"))
     return parsed.withColumn("floored", floor_to_grid(F.col("parsed")))
 
 
@@ -196,8 +200,7 @@ def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station files written from the readings, then read as one table and loaded."""
     folder = shared_folder(spark, "stations")
     name = F.format_string("station%02d.csv", F.col(STATION))
-    time = F.date_format(TIME, "yyyy-MM-dd HH:mm").alias(TIME)
-    rows = readings(spark, sf_dir).select(time, *MEASURES, name.alias("file"))
+    rows = readings(spark, sf_dir).select(minute_text(TIME).alias(TIME), *MEASURES, name.alias("file"))
     rows.write.partitionBy("file").option("header", True).csv(folder)
     text = files.consolidate(spark, folder, file_name="file=station{:02d}.csv")
     return files.aligned(files.parsed(text))

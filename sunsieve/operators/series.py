@@ -14,6 +14,8 @@ pieces exact:
 Only these tables are ever windowed by station, one row per piece: a station has
 about 114 pieces per ten years.
 
+Finer grids want shorter pieces, sparser series longer ones.
+
 Rows must be unique per station and time (`checks.duplicate_keys`). Rows without
 a time form one piece that sorts first; rows without a station form one series.
 """

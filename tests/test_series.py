@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sunsieve.operators.checks import _steps, gaps
 from sunsieve.operators.hampel import hampel, rolling_mad, rolling_median
 from sunsieve.operators.impute import backward_fill, forward_fill, impute, interpolate
+from sunsieve.operators.series import KEYS, cut
 from sunsieve.schema import STATION, TIME
 
 CUTS = [1, 3, 400]
@@ -177,6 +178,15 @@ def test_windows_must_be_odd(spark, window):
         hampel(frame(spark, ragged(1)), ["x"], window=window)
 
 
+def test_pieces_of_a_hot_station_stay_small(spark):
+    """One station with most of the rows is cut as finely as the others."""
+    step = "timestamp_ntz'1999-06-01 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT) * 15)"
+    hot = spark.range(40_000).select(F.lit(7).cast("short").alias(STATION), F.expr(step).alias(TIME))
+    cold = spark.range(500).select(F.lit(8).cast("short").alias(STATION), F.expr(step).alias(TIME))
+    sizes = cut(hot.union(cold), 8).groupBy(*KEYS).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] == 8 * 96 and sizes[1] > 40_000 / (8 * 96)
+
+
 def test_columns_and_order_are_kept(spark):
     df = frame(spark, ragged(1)).withColumn("note", F.lit("n"))
     assert hampel(df, ["x"]).columns == df.columns

@@ -81,6 +81,19 @@ def test_a_range_opens_only_its_partitions(spark, rows, tmp_path):
     assert metrics.scan_estimate(spark, where, "2001-01-01", "2001-01-02").first().asDict() == {"partitions": 0, "files": 0, "bytes": 0}
 
 
+def test_a_large_day_is_written_by_several_tasks(spark, rows, tmp_path):
+    where, size = str(tmp_path / "table"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    many = enforce_schema(rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40)))).repartition(8))
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        tables.append_clustered(many, where)
+    finally:
+        spark.conf.set(size, before)
+    assert sum(f.endswith(".parquet") for f in os.listdir(f"{where}/day=2018-07-01")) > 1
+    assert spark.read.parquet(where).count() == 960 * 40
+
+
 def test_rows_without_a_time_are_stored_and_not_repeated(spark, rows, tmp_path):
     where = str(tmp_path / "table")
     lost = enforce_schema(rows.where("power > 0").limit(1).withColumn(TIME, F.lit(None).cast("timestamp_ntz")))
