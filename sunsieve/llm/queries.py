@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sunsieve.llm.byte_bpe import encode_documents
 from sunsieve.llm.common import table
+from sunsieve.llm.ngram_join import near_duplicates
 from sunsieve.llm.packing import pack_documents
 from sunsieve.llm.separators import count_tokens
 from sunsieve.llm.tokenizer import vocabulary
@@ -41,11 +42,16 @@ def op8_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_separator_scan": op1_separator_scan,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_hierarchical_packing": op8_hierarchical_packing,
+        "op9_ngram_join": op9_ngram_join,
     }
 
 
