@@ -36,8 +36,8 @@ class Limits:
 
     least_chars: int = 200
     least_words: int = 100
-    char_distance: float = 0.25
-    word_distance: float = 0.4
+    char_distance: float = 0.32
+    word_distance: float = 0.25
 
 
 def _repeat_words(words: str, n_words: str) -> tuple[Column, Column]:

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from sunsieve.llm.byte_bpe import encode_documents
 from sunsieve.llm.common import table
+from sunsieve.llm.divergence import features, judged, references
 from sunsieve.llm.ngram_join import near_duplicates
 from sunsieve.llm.packing import pack_documents
 from sunsieve.llm.separators import count_tokens
+from sunsieve.llm.sql import divergence_sql
 from sunsieve.llm.tokenizer import vocabulary
+from sunsieve.sources.shared import landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,14 +49,32 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Counted once and written: the references and the verdicts both read the counts, not the texts.
+    counted = landed(features(table(spark, sf_dir, "documents"), ["doc_id"]), "counted")
+    return judged(counted, references(counted)).select(
+        "row.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        F.round("char_distance", 6).alias("char_distance"),
+        F.round("word_distance", 6).alias("word_distance"),
+        "kept",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_separator_scan": op1_separator_scan,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_hierarchical_packing": op8_hierarchical_packing,
         "op9_ngram_join": op9_ngram_join,
+        "op10_distribution_divergence": op10_distribution_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_distribution_divergence": divergence_sql()}
