@@ -1,6 +1,8 @@
 """What several operators share: tables, bounded batches, files in the shared folder."""
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,10 +14,23 @@ from pyspark.sql import functions as F
 #: Rows up to which a side of a join is broadcast; above it the join shuffles.
 BROADCAST_ROWS = 500_000
 
+#: What workers must be able to import; a cluster that has the package installed needs nothing else.
+ROOT = str(Path(__file__).resolve().parents[2])
+
 Batches = Iterator[pa.RecordBatch]
 
 
+def workers_find_us(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package whatever folder they start in."""
+    env = spark.sparkContext.environment
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if ROOT not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, ROOT])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, read by Spark; makes sure that workers can import what it is given to."""
+    workers_find_us(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

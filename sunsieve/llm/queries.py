@@ -3,18 +3,21 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunsieve.llm.archives import planned, read_packages, write_packages
 from sunsieve.llm.byte_bpe import encode_documents
 from sunsieve.llm.common import table
 from sunsieve.llm.divergence import features, judged, references
+from sunsieve.llm.hypergeometric import shuffle_into_shards
 from sunsieve.llm.ngram_join import near_duplicates
 from sunsieve.llm.packing import pack_documents
+from sunsieve.llm.secret_scan import KINDS, find_secrets, labelled_runs, spelled, train
 from sunsieve.llm.separators import count_tokens
-from sunsieve.llm.sql import divergence_sql
+from sunsieve.llm.sql import archives_sql, divergence_sql
 from sunsieve.llm.tokenizer import vocabulary
-from sunsieve.sources.shared import landed
+from sunsieve.sources.shared import landed, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +32,42 @@ def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, vocabulary(BYTE_VOCABULARY), END_OF_DOCUMENT)
 
 
+def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_secrets(docs, train(labelled_runs(docs)))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "markov")
+    return found.select(
+        "doc_id", *map(count, KINDS), F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("secrets")).alias("spans")
+    )
+
+
+def op5_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "archives")
+    written = write_packages(planned(table(spark, sf_dir, "pages")), folder)
+    found = read_packages(written, folder)
+    whole = F.col("record_type") == "response"
+    return found.select(
+        "page_id",
+        F.when(whole, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.col("digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+def op6_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.col("text")
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+    crc = F.crc32(F.coalesce(text, F.lit("")))
+    small = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"))
+    return shuffle_into_shards(small, 8).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     coded = encode_documents(docs, vocabulary(BYTE_VOCABULARY), public_tokenizers.PATTERN)
@@ -69,6 +108,9 @@ def op10_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_separator_scan": op1_separator_scan,
+        "op4_markov_secrets": op4_markov_secrets,
+        "op5_zip_archives": op5_zip_archives,
+        "op6_hypergeometric_shards": op6_hypergeometric_shards,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_hierarchical_packing": op8_hierarchical_packing,
         "op9_ngram_join": op9_ngram_join,
@@ -77,4 +119,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_distribution_divergence": divergence_sql()}
+    return {"op5_zip_archives": archives_sql(), "op10_distribution_divergence": divergence_sql()}

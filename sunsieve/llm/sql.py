@@ -87,3 +87,19 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
     AND coalesce(word_distance <= {limits.word_distance}, true) AS kept
 FROM j
 """
+
+
+def archives_sql(least: int = 100) -> str:
+    """What every page's record says: the smallest page_id of equal payloads is the response."""
+    return f"""
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= {least} THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
