@@ -7,19 +7,23 @@ files hold and what Spark's own `crc32` and `sha2` take.
 import base64
 import itertools
 import os
-import unicodedata
+import string
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import public_tokenizers
 import regex
 
 #: Entries that a table of known pieces keeps, so that a worker's memory is bounded.
-KNOWN = 400_000
+KNOWN = 900_000
 #: Characters of a text that are looked up at once.
 SPAN = 1 << 20
 
+#: ASCII characters that are neither letters, digits nor white space.
+MARKS = string.punctuation
+
 #: A space between two words: both tokenizer patterns always split before it.
 _BETWEEN = regex.compile(r"(?<=\S) (?=\S)")
 
@@ -55,7 +59,10 @@ class Known(dict):
 
     def learn(self, lists: Iterable[list[str]]) -> None:
         """Encode what the lists hold and is not known yet, in one call."""
-        new = [x for x in dict.fromkeys(itertools.chain.from_iterable(lists)) if x not in self]
+        met: set[str] = set()
+        for pieces in lists:
+            met.update(pieces)
+        new = [x for x in met if x not in self]
         self.passing = dict(zip(new, self.encode(new))) if new else {}
         if len(self) < self.most:
             self.update(self.passing)
@@ -68,8 +75,6 @@ class WordBpe:
     behind it. New runs of letters are encoded many at a time and cut at the end-of-word tokens.
     """
 
-    _WORD = regex.compile(r"(\p{L}+)([!-/:-@\[-`{-~]*)")
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -97,22 +102,21 @@ class WordBpe:
         return out
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        parts = []
+        runs, rests = [], []  # what stands before the marks, None if it is no plain run of letters
         for word in words:
-            found = self._WORD.fullmatch(word)
-            if not found or not (word.isascii() or unicodedata.is_normalized("NFC", word)):
-                parts.append((None, word))
-                continue
-            run, rest = found.groups()
+            run = word.rstrip(MARKS)
             lower = run.lower()  # only to meet fewer runs: the tokenizer lowers each character itself
-            if len(lower) != len(run):
-                parts.append((None, word))
+            if run.isalpha() and len(lower) == len(run) and (word.isascii() or is_normalized("NFC", word)):
+                runs.append(run if "\u03a3" in run else lower)
+                rests.append(word[len(run) :])
             else:
-                parts.append((run if "\u03a3" in run else lower, rest))
-        self.letters.learn([[run for run, _ in parts if run]])
-        rest = list(dict.fromkeys(x for _, x in parts if x))
-        others = dict(zip(rest, self._encode_each(rest))) | {"": b""}
-        return [(self.letters[run] if run else b"") + others[x] for run, x in parts]
+                runs.append(None)
+                rests.append(word)
+        self.letters.learn([[run for run in runs if run]])
+        others = {"": b""}
+        if rest := [x for x in dict.fromkeys(rests) if x]:
+            others |= zip(rest, self._encode_each(rest))
+        return [others[x] if run is None else self.letters[run] + others[x] for run, x in zip(runs, rests)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
