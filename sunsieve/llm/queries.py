@@ -11,6 +11,7 @@ from sunsieve.llm.byte_bpe import encode_documents
 from sunsieve.llm.common import table
 from sunsieve.llm.divergence import features, judged, references
 from sunsieve.llm.hypergeometric import shuffle_into_shards
+from sunsieve.llm.multi_index import neighbours
 from sunsieve.llm.ngram_join import near_duplicates
 from sunsieve.llm.packing import pack_documents
 from sunsieve.llm.secret_scan import KINDS, find_secrets, labelled_runs, spelled, train
@@ -32,6 +33,10 @@ def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, vocabulary(BYTE_VOCABULARY), END_OF_DOCUMENT)
 
 
+def op2_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_secrets(docs, train(labelled_runs(docs)))
@@ -108,6 +113,7 @@ def op10_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_separator_scan": op1_separator_scan,
+        "op2_inverted_multi_index": op2_inverted_multi_index,
         "op4_markov_secrets": op4_markov_secrets,
         "op5_zip_archives": op5_zip_archives,
         "op6_hypergeometric_shards": op6_hypergeometric_shards,
