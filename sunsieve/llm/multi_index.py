@@ -30,7 +30,7 @@ BLOCK, CHUNK = 8_192, 256
 #: Neighbours wanted times this many entries are visited in the first search.
 OPENING = 10
 #: How many deviations of the residual's score a cell is granted.
-SLACK = 2.5
+SLACK = 3.0
 
 
 @dataclass(frozen=True)
@@ -234,7 +234,11 @@ def _search(queries: DataFrame, packed: DataFrame, index: Index, k: int, slack:
     routed = routed.withColumn("chunk", F.pmod(F.xxhash64("query_id", "v"), F.lit(chunks)))
     asked = routed.groupBy("block", "chunk").agg(F.collect_list(F.struct("query_id", "v", "cells")).alias("asked"))
     met = asked.join(packed, "block").select("asked", "entries")
-    found = met.mapInArrow(rank, "query_id long, vec_id long, score double")
+    return _ranked(met.mapInArrow(rank, "query_id long, vec_id long, score double"), k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query's finds, each vec_id once."""
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -262,5 +266,6 @@ def neighbours(
     beat = beat.select("query_id", F.when(F.col("n") == k, F.col("least")).alias("least"))
     second = queries.join(beat, "query_id", "left")
     second = second.select("query_id", "v", F.coalesce("least", F.lit(float("-inf"))).alias("beat"))
-    found = _search(second, packed, index, k, slack, n)
-    return found.select("query_id", "rank", "vec_id", "score")
+    finds = ["query_id", "vec_id", "score"]
+    found = _search(second, packed, index, k, slack, n).select(finds).union(first.select(finds))
+    return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
