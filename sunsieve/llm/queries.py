@@ -14,9 +14,10 @@ from sunsieve.llm.hypergeometric import shuffle_into_shards
 from sunsieve.llm.multi_index import neighbours
 from sunsieve.llm.ngram_join import near_duplicates
 from sunsieve.llm.packing import pack_documents
+from sunsieve.llm.perspectives import rotate
 from sunsieve.llm.secret_scan import KINDS, find_secrets, labelled_runs, spelled, train
 from sunsieve.llm.separators import count_tokens
-from sunsieve.llm.sql import archives_sql, divergence_sql
+from sunsieve.llm.sql import archives_sql, divergence_sql, perspectives_sql
 from sunsieve.llm.tokenizer import vocabulary
 from sunsieve.sources.shared import landed, shared_folder
 
@@ -37,6 +38,10 @@ def op2_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(table(spark, sf_dir, "conversations"))
+
+
 def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_secrets(docs, train(labelled_runs(docs)))
@@ -114,6 +119,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_separator_scan": op1_separator_scan,
         "op2_inverted_multi_index": op2_inverted_multi_index,
+        "op3_perspective_rotation": op3_perspective_rotation,
         "op4_markov_secrets": op4_markov_secrets,
         "op5_zip_archives": op5_zip_archives,
         "op6_hypergeometric_shards": op6_hypergeometric_shards,
@@ -125,4 +131,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_zip_archives": archives_sql(), "op10_distribution_divergence": divergence_sql()}
+    return {
+        "op3_perspective_rotation": perspectives_sql(),
+        "op5_zip_archives": archives_sql(),
+        "op10_distribution_divergence": divergence_sql(),
+    }

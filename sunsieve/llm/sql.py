@@ -1,6 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 from sunsieve.llm.divergence import COMMON_WORDS, N_COMMON, Limits
+from sunsieve.llm.perspectives import CLOSE, FRAME, NOBODY, OPEN
 
 
 def _words_of(k: int) -> str:
@@ -103,3 +104,31 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM f
 """
+
+
+def perspectives_sql() -> str:
+    """Every dialogue once for each of its participants, a row per message."""
+    return f"""
+WITH m AS (
+  SELECT conv_id, turn, CASE WHEN trim(role) <> '' THEN role ELSE '{NOBODY}' END AS speaker, coalesce(text, '') AS text
+  FROM conversations
+), w AS (
+  SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> '{FRAME}'
+), r AS (
+  SELECT m.*, perspective,
+    CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = '{FRAME}' THEN '{FRAME}' ELSE 'user' END AS role
+  FROM m JOIN w ON m.conv_id IS NOT DISTINCT FROM w.conv_id
+), h AS (
+  SELECT *, '{OPEN}' || role || CASE WHEN role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) AS head FROM r
+), s AS (
+  SELECT *, head || text || '{CLOSE}' || chr(10) AS segment FROM h
+), p AS (
+  SELECT *, CAST(sum(length(segment)) OVER (
+    PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop
+  FROM s
+)
+SELECT conv_id, perspective, turn, speaker, role, segment, stop - length(segment) AS start, stop AS "end",
+  CASE WHEN role = 'assistant' THEN stop - length(segment) + length(head) ELSE stop END AS mask_start,
+  CASE WHEN role = 'assistant' THEN stop - 1 ELSE stop END AS mask_end
+FROM p
+"""
