@@ -26,8 +26,8 @@ COMMON_WORDS = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "del", "se"],
 }
 N_COMMON = 10
-CLASSES = ("n_upper", "n_digits", "n_symbols", "n_marks", "n_others")
-COMMON = [f"common_{k}" for k in range(N_COMMON)]
+#: Upper case, digits, symbols, other ASCII marks, all other characters.
+N_CLASSES = 5
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,15 @@ class Limits:
     word_distance: float = 0.25
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """The same rows, their columns computed here and once.
+
+    Else the optimizer may move the expression of a column into a filter or a lambda that mentions
+    it, where it is computed anew for every mention or element.
+    """
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def _repeat_words(words: str, n_words: str) -> tuple[Column, Column]:
     """The hashes of three-word windows, and from them the words inside windows found twice or more."""
     at = F.sequence(F.lit(0), F.col(n_words) - 3)
@@ -57,7 +66,8 @@ def features(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """`carry` columns of the documents, as the struct `row`, and counts of each whole text.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, the language's key
-    `lang_key` (null without a reference), and the counts of character classes and common words.
+    `lang_key` (null without a reference), and the counts of character classes (char_counts) and of
+    common words and all others (word_counts).
     A null text is empty. Two windows of words are the same if their 64-bit hashes are.
     """
     carry = docs.columns if carry is None else carry
@@ -77,6 +87,7 @@ def features(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         F.array_join("words", "").alias("joined"),
         lines.alias("lines"),
     )
+    rows = _settled(rows)
     windows, again = _repeat_words("words", "n_words")
     spelt = [w for words in COMMON_WORDS.values() for w in words]
     spelt = sorted({*spelt, *(w.capitalize() for w in spelt)})
@@ -89,6 +100,7 @@ def features(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         windows.alias("windows"),
         F.transform(F.filter("words", lambda w: w.isin(*spelt)), F.lower).alias("common"),
     )
+    rows = _settled(rows)
 
     def left(pattern: str) -> Column:
         return F.length("joined") - F.length(F.regexp_replace("joined", pattern, ""))
@@ -113,22 +125,25 @@ def features(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         F.when(repeats, placed).alias("placed"),
         F.transform(own, lambda c: F.size(F.filter("common", lambda w: w == c))).alias("counts"),
     )
+    rows = _settled(rows)
     found = F.filter("placed", lambda item, k: again(item, k, F.col("placed")))
     rows = rows.withColumn("places", F.sort_array(F.transform(found, lambda x: x["i"])))
     covered = F.transform("places", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("places", k + 1) - p, F.lit(3))))
     total = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0))
-    longs = {c: F.col(c).cast("long") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_upper", "n_digits")}
-    rows = rows.select(
+    marks, others = F.col("n_ascii_marks") - F.col("n_symbols"), F.col("word_chars") - F.col("n_upper") - F.col("n_digits")
+    classes = F.array("n_upper", "n_digits", "n_symbols", marks, others - F.col("n_ascii_marks"))
+    known = F.when(F.size("counts") > 0, F.col("counts")).otherwise(F.array_repeat(F.lit(0), N_COMMON))
+    rest = F.col("n_words") - F.aggregate("known", F.lit(0), lambda a, b: a + b)
+    rows = rows.withColumn("known", known).select(
         "row",
         "lang_key",
-        *(v.alias(k) for k, v in longs.items()),
+        *(F.col(c).cast("long").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")),
         total.cast("long").alias("n_repeat_words"),
-        (F.col("n_ascii_marks") - F.col("n_symbols")).cast("long").alias("n_marks"),
-        *(F.coalesce(F.get("counts", F.lit(k)), F.lit(0)).cast("long").alias(c) for k, c in enumerate(COMMON)),
+        classes.cast("array<bigint>").alias("char_counts"),
+        F.concat("known", F.array(rest)).cast("array<bigint>").alias("word_counts"),
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    others = F.col("word_chars") - sum((F.col(c) for c in CLASSES[1:-1]), F.col(CLASSES[0]))
-    return rows.select("*", others.alias("n_others"), failed.alias("base_failed"))
+    return _settled(rows.withColumn("base_failed", failed))
 
 
 def references(counted: DataFrame) -> dict[str, dict[str, list[float]]]:
@@ -137,46 +152,38 @@ def references(counted: DataFrame) -> dict[str, dict[str, list[float]]]:
     One row per language of COMMON_WORDS comes to the driver. Documents that fail the base rules
     are left out; a language without words has no reference.
     """
-    sums = [F.sum(c).alias(c) for c in (*CLASSES, *COMMON, "n_words", "word_chars")]
+    sizes = {"char_counts": N_CLASSES, "word_counts": N_COMMON + 1}
+    sums = [F.array(*(F.sum(F.get(c, F.lit(k))) for k in range(n))).alias(c) for c, n in sizes.items()]
     rows = counted.where("lang_key IS NOT NULL AND NOT base_failed").groupBy("lang_key").agg(*sums).collect()
-    out = {}
-    for r in rows:
-        if r.n_words:
-            words = [r[c] / r.n_words for c in COMMON]
-            rest = (r.n_words - sum(r[c] for c in COMMON)) / r.n_words
-            out[r.lang_key] = {"chars": [r[c] / r.word_chars for c in CLASSES], "words": [*words, rest]}
-    return out
+    return {r.lang_key: {c: [x / sum(r[c]) for x in r[c]] for c in sizes} for r in rows}
 
 
-def js_distance(shares: list[Column], reference: list[Column]) -> Column:
-    """Jensen-Shannon distance of two distributions, to base 2: 0 if equal, 1 if disjoint."""
+def js_distance(shares: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance of two distributions (arrays), to base 2: 0 if equal, 1 if disjoint."""
 
     def part(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))
 
-    terms = [part(p, q) + part(q, p) for p, q in zip(shares, reference)]
-    return F.sqrt(F.greatest(F.lit(0.0), reduce(lambda a, b: a + b, terms) / 2))
+    terms = F.zip_with(shares, reference, lambda p, q: part(p, q) + part(q, p))
+    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, b: a + b) / 2))
 
 
 def judged(counted: DataFrame, known: dict[str, dict[str, list[float]]], limits: Limits = Limits()) -> DataFrame:
     """`features` with char_distance, word_distance (null where not compared) and kept."""
 
-    def reference(kind: str, k: int) -> Column:
-        out = F.lit(None).cast("double")
-        for lang, shares in known.items():
-            out = F.when(F.col("lang_key") == lang, F.lit(shares[kind][k])).otherwise(out)
-        return out
-
-    other_words = F.col("n_words") - sum((F.col(c) for c in COMMON[1:]), F.col(COMMON[0]))
-    chars = [F.col(c) / F.col("word_chars") for c in CLASSES]
-    words = [x / F.col("n_words") for x in (*map(F.col, COMMON), other_words)]
-    has = F.col("lang_key").isin(*known) if known else F.lit(False)
-    char_distance = js_distance(chars, [reference("chars", k) for k in range(len(chars))])
-    word_distance = js_distance(words, [reference("words", k) for k in range(len(words))])
+    def distance(counts: str, total: str, least: int) -> Column:
+        if not known:
+            return F.lit(None).cast("double")
+        pairs = [(F.lit(lang), F.array(*map(F.lit, shares[counts]))) for lang, shares in known.items()]
+        reference = F.create_map(*(x for pair in pairs for x in pair))[F.col("lang_key")]
+        n = F.col(total)
+        shares = F.transform(counts, lambda c: c / n)
+        return F.when((n >= least) & F.col("lang_key").isin(*known), js_distance(shares, reference))
+
     compared = counted.select(
         "*",
-        F.when(has & (F.col("word_chars") >= limits.least_chars), char_distance).alias("char_distance"),
-        F.when(has & (F.col("n_words") >= limits.least_words), word_distance).alias("word_distance"),
+        distance("char_counts", "word_chars", limits.least_chars).alias("char_distance"),
+        distance("word_counts", "n_words", limits.least_words).alias("word_distance"),
     )
     near = F.coalesce(F.col("char_distance") <= limits.char_distance, F.lit(True))
     near &= F.coalesce(F.col("word_distance") <= limits.word_distance, F.lit(True))
