@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunsieve.errors import LoadError, QueryError
 from sunsieve.functions.grid import floor_to_grid, off_grid, parse_time
 from sunsieve.functions.solar import is_night, solar_elevation
 from sunsieve.functions.values import blank_tokens
@@ -19,15 +20,15 @@ from sunsieve.operators.impute import backward_fill, forward_fill, impute, inter
 from sunsieve.operators.night import zero_at_night
 from sunsieve.plans import metrics
 from sunsieve.plans.clean import clean, stage_metrics
-from sunsieve.plans.refresh import refresh
+from sunsieve.plans.refresh import Refreshed, refresh
 from sunsieve.schema import IRRADIANCE, MEASURES, STATION, TIME, WIND
 from sunsieve.sources import files, tables
 from sunsieve.sources.shared import shared_folder
-from sunsieve.streaming.arrivals import keep_appending
+from sunsieve.streaming.arrivals import keep_appending, reclean
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-WHOLE = ("2024-01-01 00:00:00", "2024-12-31 23:59:59")
+WHOLE = ("0001-01-01 00:00:00", "9999-12-31 23:59:59")
 SOME_DAYS = ("2024-01-05 06:00:00", "2024-01-20 18:00:00")
 
 # What each input column takes from an event: a condition and a value.
@@ -49,9 +50,9 @@ _PARTS = {
 }
 
 
-def minute_text(name: str) -> Column:
-    """A zone-less time as the station files write it, whatever the session zone."""
-    return F.substring(F.col(name).cast("string"), 1, 16)
+def time_text(name: str) -> Column:
+    """A zone-less time as text, whole, whatever the session zone."""
+    return F.col(name).cast("timestamp_ntz").cast("string")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +79,13 @@ def series_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def row_count_met(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract against the count that the events themselves say, and against one more."""
+    rows = readings(spark, sf_dir)
+    cells = on_grid(events(spark, sf_dir)).select(STATION, TIME).distinct().count()
+    return checks.row_count(rows, cells).union(checks.row_count(rows, cells + 1))
+
+
 def _feed(spark: SparkSession, sf_dir: str, event_type: str, name: str) -> DataFrame:
     rows = on_grid(events(spark, sf_dir).where(F.col("event_type") == event_type))
     return rows.groupBy(STATION, TIME).agg(F.max("value").alias(name))
@@ -106,7 +114,7 @@ def avg_power_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.result_total(metrics.average_power(readings(spark, sf_dir), *SOME_DAYS))
+    return metrics.result_total(metrics.average_power(readings(spark, sf_dir), *WHOLE))
 
 
 def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +126,7 @@ def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = events(spark, sf_dir).select("event_id", parse_time(minute_text("ts")).alias("parsed"))
+    parsed = events(spark, sf_dir).select("event_id", parse_time(time_text("ts")).alias("parsed"))
     return parsed.withColumn("floored", floor_to_grid(F.col("parsed")))
 
 
@@ -196,13 +204,20 @@ def fallback_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", "ts", "user_id", "event_type", "value")
 
 
-def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station files written from the readings, then read as one table and loaded."""
+STATION_FILE = "file=station{:02d}.csv"
+
+
+def _station_files(spark: SparkSession, sf_dir: str) -> str:
     folder = shared_folder(spark, "stations")
     name = F.format_string("station%02d.csv", F.col(STATION))
-    rows = readings(spark, sf_dir).select(minute_text(TIME).alias(TIME), *MEASURES, name.alias("file"))
+    rows = readings(spark, sf_dir).select(time_text(TIME).alias(TIME), *MEASURES, name.alias("file"))
     rows.write.partitionBy("file").option("header", True).csv(folder)
-    text = files.consolidate(spark, folder, file_name="file=station{:02d}.csv")
+    return folder
+
+
+def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station files written from the readings, then read as one table and loaded."""
+    text = files.consolidate(spark, _station_files(spark, sf_dir), file_name=STATION_FILE)
     return files.aligned(files.parsed(text))
 
 
@@ -246,13 +261,128 @@ def scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_estimate(spark, sf_dir).select("partitions")
 
 
-def fingerprint_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether content written, clustered and read again still has its fingerprint."""
+def _kept(one: DataFrame, other: DataFrame, case: str) -> DataFrame:
+    both = tables.fingerprint(one).union(tables.fingerprint(other))
+    same = (F.min("n_rows") == F.max("n_rows")) & (F.min("content") == F.max("content"))
+    return both.agg(F.lit(case).alias("case"), F.max("n_rows").alias("n_rows"), same.alias("same"))
+
+
+def fingerprint_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether content has its fingerprint after changes that should keep it and changes that should not."""
     rows = enforce_schema(with_deltas(readings(spark, sf_dir)))
     stored = spark.read.parquet(_published(spark, sf_dir, tables.MONTH)).drop(tables.MONTH)
-    both = tables.fingerprint(rows).union(tables.fingerprint(stored))
-    same = (F.min("n_rows") == F.max("n_rows")) & (F.min("content") == F.max("content"))
-    return both.agg(F.max("n_rows").alias("n_rows"), same.alias("kept"))
+    first = F.col("event_id") == 0
+    lines = events(spark, sf_dir).select("event_id", F.col("value").alias("a"), F.lit(None).cast("double").alias("b"))
+    moved = lines.select("event_id", F.when(~first, F.col("a")).alias("a"), F.when(first, F.col("a")).alias("b"))
+    pairs = [lines.where(F.col("event_id") == k) for k in (1, 2)]
+    twice = [lines.unionByName(pair).unionByName(pair) for pair in pairs]
+    cases = [
+        _kept(rows, stored, "clustered and read again"),
+        _kept(lines, lines.orderBy(F.desc("a")).repartition(7), "reordered"),
+        _kept(lines, moved, "null moved"),
+        _kept(twice[0], twice[1], "pair swapped"),
+        _kept(lines, lines.withColumn("a", F.when(first, F.col("a") + 1).otherwise(F.col("a"))), "one value changed"),
+    ]
+    return union_all(cases)
+
+
+def _loaded_twice(spark: SparkSession, sf_dir: str, on_conflict: str) -> tuple[str, bool]:
+    """Whether the second load was refused: a table that has been given the readings, and a file with other power on the hour and new rows."""
+    root, where = shared_folder(spark, "published"), shared_folder(spark, "table")
+    rows = with_deltas(readings(spark, sf_dir))
+    early = rows.where(F.col(TIME) < tables.moment(SOME_DAYS[1]))
+    tables.load_once(spark, tables.export_gold(early, root, "first"), where, root)
+    power = F.when(F.minute(TIME) == 0, F.lit(-7.0)).otherwise(F.col("power"))
+    second = tables.export_gold(rows.withColumn("power", power), root, "second")
+    try:
+        tables.load_once(spark, second, where, root, on_conflict=on_conflict)
+        refused = False
+    except LoadError:
+        refused = True
+    return where, refused
+
+
+def load_policy(on_conflict: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(_loaded_twice(spark, sf_dir, on_conflict)[0]).drop(tables.DAY)
+
+    return run
+
+
+def load_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with other values is refused, and the table stays as it was."""
+    where, refused = _loaded_twice(spark, sf_dir, "error")
+    return spark.read.parquet(where).agg(F.count("*").alias("n_rows"), F.lit(refused).alias("refused"))
+
+
+def csv_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of events written and read again, to the second and beyond."""
+    path = shared_folder(spark, "csv")
+    files.write_csv(events(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts")), path)
+    text = files.read_csv(spark, path)
+    return text.select(F.col("event_id").cast("bigint").alias("event_id"), parse_time(F.col("ts")).alias("ts"))
+
+
+def custom_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of a caller among the built-in ones: one moves time over many pieces, one renumbers stations."""
+
+    def later(df: DataFrame) -> DataFrame:
+        return df.withColumn(TIME, F.expr(f"{TIME} + make_dt_interval(5, 7)"))
+
+    def renumbered(df: DataFrame) -> DataFrame:
+        return df.withColumn(STATION, (F.lit(9) - F.col(STATION)).cast("smallint"))
+
+    return clean(readings(spark, sf_dir), [zero_at_night, later, hampel, renumbered, impute], chunk_days=1)
+
+
+def fallback_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of station files in order of preference, the first of them empty."""
+    folder = _station_files(spark, sf_dir)
+    text = files.read_first_available(
+        spark, [shared_folder(spark, "nowhere"), folder], lambda s, path: files.consolidate(s, path, file_name=STATION_FILE)
+    )
+    return files.aligned(files.parsed(text))
+
+
+def cap_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query over a table, asked under a cap it passes and under one byte less than it needs."""
+    where = _published(spark, sf_dir, tables.DAY)
+    size = metrics.scan_estimate(spark, where, *SOME_DAYS).first()["bytes"]
+    rows = []
+    for spare in (0, -1):
+        try:
+            answer = metrics.answer_average_power(spark, where, *SOME_DAYS, max_bytes=size + spare)
+            rows.append((spare, False, answer.total_rows, answer.bytes_processed == size))
+        except QueryError:
+            rows.append((spare, True, None, None))
+    return spark.createDataFrame(rows, "spare int, refused boolean, total_rows long, whole boolean")
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> Refreshed:
+    path, root = shared_folder(spark, "csv"), shared_folder(spark, "out")
+    late = F.when(F.col("station_id") == 3, F.expr(f"{TIME} + make_dt_interval(0, 0, 4)")).otherwise(F.col(TIME))
+    files.write_csv(readings(spark, sf_dir).withColumn(TIME, late), path)
+    return refresh(spark, [path], root, f"{root}/table", run_id="run")
+
+
+def refresh_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a refresh reports of its input: times off the grid too, though it floors them."""
+    return _refreshed(spark, sf_dir).report
+
+
+def refresh_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir).metrics.withColumn("wrote", F.col("bytes_written") > 0).drop("bytes_written")
+
+
+def arrivals_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that arrive in three batches out of order, the days of each cleaned again: as if all came at once."""
+    raw, cleaned = shared_folder(spark, "raw"), shared_folder(spark, "cleaned")
+    rows = with_deltas(readings(spark, sf_dir))
+    for part in (1, 0, 2):
+        batch = rows.where(F.pmod(F.unix_date(F.col(TIME).cast("date")), F.lit(3)) == part)
+        tables.append_new(tables.one_per_key(batch), raw)
+        reclean(raw, cleaned, batch.select(F.col(TIME).cast("date").alias("day")))
+    return spark.read.parquet(cleaned).drop(tables.DAY)
 
 
 def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,6 +434,7 @@ def queries() -> dict[str, Query]:
         "range_from_months": range_from_table(tables.MONTH),
         "station_counts": _on_readings(metrics.station_counts),
         "row_count_check": _on_readings(checks.row_count),
+        "row_count_met": row_count_met,
         "sample_topk": _on_readings(metrics.preview),
         "scan_estimate": scan_estimate,
         "scan_partitions": scan_partitions,
@@ -340,7 +471,18 @@ def queries() -> dict[str, Query]:
         "arrivals": arrived,
         "load_id": load_ids,
         "fingerprint": _on_readings(tables.fingerprint),
-        "fingerprint_kept": fingerprint_kept,
+        "fingerprint_changes": fingerprint_changes,
+        "load_keep": load_policy("keep"),
+        "load_replace": load_policy("replace"),
+        "load_conflicts": load_conflicts,
+        "csv_seconds": csv_seconds,
+        "clean_custom_step": custom_steps,
+        "clean_daily_pieces": _on_readings(lambda df: clean(with_deltas(df), chunk_days=1)),
+        "fallback_stations": fallback_stations,
+        "cap_refused": cap_refused,
+        "refresh_report": refresh_report,
+        "refresh_metrics": refresh_metrics,
+        "arrivals_cleaned": arrivals_cleaned,
         "idempotent_append": idempotent_append,
         "align_join": _join("inner"),
         "align_join_left": _join("left"),

@@ -49,7 +49,7 @@ def enforce_schema(df: DataFrame) -> DataFrame:
     need(df, list(FINAL_TYPES))
     return df.select(
         *(
-            (to_station(F.col(c)) if c == STATION and df.schema[c].dataType != t else F.col(c).cast(t)).alias(c)
+            (to_station(F.col(c)) if c == STATION else F.col(c).cast(t)).alias(c)
             for c, t in FINAL_TYPES.items()
         )
     )

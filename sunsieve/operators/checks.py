@@ -5,7 +5,7 @@ Reports are frames of (check, column, violations, min_value, max_value).
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from sunsieve.errors import AlignmentError, BoundsError, TransformError
@@ -123,7 +123,12 @@ def require_on_grid(df: DataFrame, minutes: int = GRID_MINUTES) -> None:
 
 def require_bounds(df: DataFrame, columns: Sequence[str] = IRRADIANCE) -> None:
     """Abort on the first column out of its range."""
-    found = {r["column"]: r for r in irradiance_bounds(df, columns).collect()}
+    require_clean_bounds(irradiance_bounds(df, columns).collect(), columns)
+
+
+def require_clean_bounds(report: Sequence[Row], columns: Sequence[str] = IRRADIANCE) -> None:
+    """The same from the rows of a report that has the bounds among its checks."""
+    found = {r["column"]: r for r in report if r["check"] == "bounds"}
     for c in columns:
         bad = found[c]
         if bad["violations"]:

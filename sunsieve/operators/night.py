@@ -13,5 +13,9 @@ def zero_at_night(
     df: DataFrame, columns: Sequence[str] = NIGHT_ZERO, latitude: float = LATITUDE
 ) -> DataFrame:
     """0.0 at night, nulls included; a row without a time stays as it is."""
-    night = is_night(F.col(TIME), latitude)
-    return df.withColumns({c: F.when(night, F.lit(0.0)).otherwise(F.col(c)) for c in columns})
+    night = "_is_night"  # once, not once per column
+    rows = df.withColumn(night, is_night(F.col(TIME), latitude))
+    return rows.withColumns({c: F.when(F.col(night), F.lit(0.0)).otherwise(F.col(c)) for c in columns}).drop(night)
+
+
+zero_at_night.keeps_keys = True

@@ -60,6 +60,7 @@ def by_chunk(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             return step(df, *args, **kwargs)
         return step(cut(df, chunk_days), *args, **kwargs).drop(*KEYS)
 
+    run.keeps_keys = True
     return run
 
 

@@ -149,6 +149,16 @@ _STRONG = (
 )
 
 
+_QUALITY = " UNION ALL ".join(
+    [*(_bounds(c) for c in IRRADIANCE), *(_nulls(c, "strong") for c in MEASURES), _grid("date_time", "strong")]
+)
+
+
+def _loaded(changed: str) -> str:
+    columns = ", ".join(f"CASE WHEN {changed} THEN -7.0::DOUBLE ELSE power END AS power" if c == "power" else c for c in FINAL_TYPES)
+    return _with(READINGS, _FINAL, last=f"SELECT {columns} FROM final")
+
+
 def _avg(start: str, end: str) -> str:
     return _from_readings(
         "station_id, round(avg(power), 6) AS avg_power",
@@ -205,12 +215,7 @@ def oracle_sql() -> dict[str, str]:
         "avg_power": _avg(*WHOLE),
         "avg_power_bound": _avg(start, end),
         "avg_power_capped": _avg(start, end),
-        "result_total": _with(
-            READINGS,
-            _FINAL,
-            f"kept AS ({_between('station_id')})",
-            last="SELECT count(DISTINCT station_id) AS total_rows FROM kept",
-        ),
+        "result_total": _from_readings("count(DISTINCT station_id) AS total_rows"),
         "range_filter": _with(READINGS, _FINAL, last=_between(", ".join(_ALL))),
         "range_from_days": _with(
             READINGS, _FINAL, last=_between(", ".join(FINAL_TYPES) + ", CAST(date_time AS DATE) AS day")
@@ -229,15 +234,54 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(DISTINCT CAST(ts AS DATE)) AS partitions FROM events "
             f"WHERE CAST(ts AS DATE) BETWEEN DATE '{start[:10]}' AND DATE '{end[:10]}'"
         ),
-        "fingerprint_kept": _from_readings("count(*) AS n_rows, true AS kept"),
+        "row_count_met": _from_readings(
+            "count(*) AS n_rows, count(*) + extra AS expected, extra = 0 AS ok",
+            "CROSS JOIN (VALUES (0), (1)) AS t(extra) GROUP BY extra",
+        ),
+        "fingerprint_changes": _with(
+            READINGS,
+            "n AS (SELECT count(*) AS n FROM events)",
+            last="SELECT 'clustered and read again' AS \"case\", count(*) AS n_rows, true AS same FROM readings "
+            "UNION ALL SELECT 'reordered', n, true FROM n UNION ALL SELECT 'null moved', n, false FROM n "
+            "UNION ALL SELECT 'pair swapped', n + 2, false FROM n UNION ALL SELECT 'one value changed', n, false FROM n",
+        ),
+        "load_keep": _loaded(f"date_time >= TIMESTAMP '{end}' AND minute(date_time) = 0"),
+        "load_replace": _loaded("minute(date_time) = 0"),
+        "load_conflicts": _from_readings("count(*) AS n_rows, true AS refused", f"WHERE date_time < TIMESTAMP '{end}'"),
+        "csv_seconds": "SELECT event_id, ts FROM events",
+        "clean_custom_step": _with(
+            READINGS,
+            _night("night", "readings", _ALL),
+            "later AS (SELECT * REPLACE (date_time + INTERVAL 127 HOUR AS date_time) FROM night)",
+            *_hampel("calm", "later", _ALL),
+            "other AS (SELECT * REPLACE (CAST(9 - station_id AS SMALLINT) AS station_id) FROM calm)",
+            *_fill("clean", "other", _ALL, MEASURES, "impute"),
+            last="SELECT * FROM clean",
+        ),
+        "clean_daily_pieces": clean,
+        "fallback_stations": final,
+        "cap_refused": _with(
+            READINGS,
+            _FINAL,
+            f"kept AS ({_between('station_id')})",
+            last="SELECT 0 AS spare, false AS refused, count(DISTINCT station_id) AS total_rows, true AS whole FROM kept "
+            "UNION ALL SELECT -1, true, NULL, NULL",
+        ),
+        "refresh_report": _with(
+            READINGS,
+            "strong AS (SELECT * REPLACE (CASE WHEN station_id = 3 THEN date_time + INTERVAL 4 MINUTE "
+            "ELSE date_time END AS date_time) FROM readings)",
+            last=_QUALITY,
+        ),
+        "refresh_metrics": f"SELECT *, true AS wrote FROM ({_stage_metrics()})",
+        "arrivals_cleaned": clean,
         "fallback_source": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "consolidate": final,
         "csv_roundtrip": final,
         "gold_roundtrip": final,
         "null_tokens": "SELECT event_id, CASE WHEN event_id % 5 = 4 THEN value END AS value FROM events",
         "parse_floor": (
-            "SELECT event_id, parsed, time_bucket(INTERVAL 15 MINUTE, parsed) AS floored FROM ("
-            "SELECT event_id, strptime(strftime(ts, '%Y-%m-%d %H:%M'), '%Y-%m-%d %H:%M') AS parsed FROM events)"
+            "SELECT event_id, ts AS parsed, time_bucket(INTERVAL 15 MINUTE, ts) AS floored FROM events"
         ),
         "deltas": _from_readings(f"station_id, date_time, {_delta_list()}"),
         "enforce_schema": final,
@@ -256,13 +300,7 @@ def oracle_sql() -> dict[str, str]:
         "quality_report": _with(
             READINGS,
             _STRONG,
-            last=" UNION ALL ".join(
-                [
-                    *(_bounds(c) for c in IRRADIANCE),
-                    *(_nulls(c, "strong") for c in MEASURES),
-                    _grid("date_time", "strong"),
-                ]
-            ),
+            last=_QUALITY,
         ),
         "gaps": _with(
             READINGS,

@@ -10,7 +10,7 @@ from sunsieve.operators.align import with_deltas
 from sunsieve.operators.hampel import hampel
 from sunsieve.operators.impute import impute
 from sunsieve.operators.night import zero_at_night
-from sunsieve.operators.series import CHUNK_DAYS, KEYS, cut
+from sunsieve.operators.series import CHUNK, CHUNK_DAYS, KEYS, cut
 from sunsieve.schema import DELTAS, MEASURES, TIME, WIND
 from sunsieve.functions.solar import is_night
 
@@ -31,13 +31,20 @@ def clean(
 ) -> DataFrame:
     """Apply the steps in order. Each must give back the columns it got.
 
-    Steps may be any function of a frame; between them the frame also holds the
-    piece keys, so that steps on pieces share one shuffle. Forecast errors stay as
-    loaded unless asked for anew.
+    Steps may be any function of a frame. Those of this package leave time and station
+    alone (`keeps_keys`): between them the frame also holds the piece keys, so that
+    they share one shuffle. A caller's step does not see the keys, and may change time
+    and station: the pieces are cut anew after it. Forecast errors stay as loaded
+    unless asked for anew.
     """
     names = df.columns
-    rows = cut(df, chunk_days)
+    rows = df
     for step in steps:
+        own = getattr(step, "keeps_keys", False)
+        if own and CHUNK not in rows.columns:
+            rows = cut(rows, chunk_days)
+        elif not own:
+            rows = rows.drop(*KEYS)
         before = rows.columns
         try:
             rows = step(rows)

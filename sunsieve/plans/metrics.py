@@ -1,13 +1,15 @@
 """Questions asked of readings and of the published table."""
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunsieve.errors import QueryError
-from sunsieve.schema import DAY, MAX_SCAN_BYTES, STATION, TARGET, TIME
-from sunsieve.sources.tables import GRAINS, moment, partition_of, read_table, time_range
+from sunsieve.errors import QueryError, SieveError
+from sunsieve.schema import MAX_SCAN_BYTES, STATION, TARGET, TIME
+from sunsieve.sources.shared import file_sizes, folders_in
+from sunsieve.sources.tables import moment, partition_of, read_table, stored_grain, time_range
 
 Moment = str | datetime
 
@@ -48,27 +50,30 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def scan_estimate(
-    spark: SparkSession, table: str, start: Moment, end: Moment, grain: str = DAY
+    spark: SparkSession, table: str, start: Moment, end: Moment, grain: str | None = None
 ) -> DataFrame:
     """Partitions, files and bytes a query over the range would open, without opening any.
 
-    One row per file is listed, whatever the rows inside. Whole files count, so
-    column pruning makes the true scan smaller.
+    Folders are named by their date, so the partitions in the range are known from their
+    names, and the files from listing those. No job runs over the table. Whole files count,
+    so column pruning makes the true scan smaller. The grain is read from the table.
     """
-    if grain not in GRAINS:
-        raise ValueError(f"grain must be one of {GRAINS}")
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table)
-        # The folder name is read as a date; a lone partition for null times as text.
-        .withColumn(grain, F.col(grain).cast("date"))
-    )
-    low, high = (partition_of(moment(m), grain) for m in (start, end))
-    inside = files.where(F.col(grain).between(low, high))
-    return inside.agg(
-        F.count_distinct(grain).alias("partitions"),
-        F.count("*").alias("files"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-    )
+    grain = stored_grain(_stored(spark, table, grain))
+    bounds = [partition_of(moment(m), grain).cast("string") for m in (start, end)]
+    low, high = spark.range(1).select(*bounds).first()
+    found = [f for f in folders_in(spark, table) if f"{grain}={low}" <= f <= f"{grain}={high}"]
+    sizes = [size for folder in found for size in file_sizes(spark, f"{table}/{folder}").values()]
+    row = (len(found), len(sizes), sum(sizes))
+    return spark.createDataFrame([row], "partitions long, files long, bytes long")
+
+
+def _stored(spark: SparkSession, table: str, grain: str | None) -> DataFrame:
+    stored = read_table(spark, table)
+    if stored is None:
+        raise QueryError(f"no table at {table}")
+    if grain and stored_grain(stored) != grain:
+        raise QueryError(f"{table} is stored by {stored_grain(stored)}, not by {grain}")
+    return stored
 
 
 def query_average_power(
@@ -78,16 +83,41 @@ def query_average_power(
     end: Moment,
     dry_run: bool = False,
     max_bytes: int = MAX_SCAN_BYTES,
-    grain: str = DAY,
+    grain: str | None = None,
 ) -> DataFrame:
-    """Average power from the table; the estimate alone when dry, an error above the cap."""
-    stored = read_table(spark, table)
-    if stored is None:
-        raise QueryError(f"no table at {table}")
-    estimate = scan_estimate(spark, table, start, end, grain)
-    if dry_run:
-        return estimate
-    size = estimate.first()["bytes"]
-    if size > max_bytes:
-        raise QueryError(f"the query would scan {size} bytes, {max_bytes} are allowed")
-    return average_power(stored, start, end)
+    """Average power from the table; the estimate alone when dry, a QueryError above the cap."""
+    try:
+        estimate = scan_estimate(spark, table, start, end, grain)
+        if dry_run:
+            return estimate
+        size = estimate.first()["bytes"]
+        if size > max_bytes:
+            raise QueryError(f"the query would scan {size} bytes, {max_bytes} are allowed")
+        return average_power(_stored(spark, table, grain), start, end)
+    except SieveError:
+        raise
+    except Exception as cause:
+        raise QueryError(f"average power from {table} failed: {cause}") from cause
+
+
+@dataclass(frozen=True)
+class Answer:
+    """A query's rows, one per station, with their number and the bytes of the files behind them."""
+
+    rows: list[dict]
+    total_rows: int
+    bytes_processed: int
+
+
+def answer_average_power(
+    spark: SparkSession, table: str, start: Moment, end: Moment, max_bytes: int = MAX_SCAN_BYTES
+) -> Answer:
+    """The answer as a service gives it: collected, with totals; every failure is a QueryError."""
+    try:
+        size = scan_estimate(spark, table, start, end).first()["bytes"]
+        rows = [r.asDict() for r in query_average_power(spark, table, start, end, max_bytes=max_bytes).collect()]
+        return Answer(rows, len(rows), size)
+    except QueryError:
+        raise
+    except Exception as cause:
+        raise QueryError(f"average power from {table} failed: {cause}") from cause

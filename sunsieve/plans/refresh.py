@@ -1,22 +1,30 @@
 """From raw files to the published table, in one call."""
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sunsieve.errors import SieveError, TransformError
+from sunsieve.operators.align import on_grid
+from sunsieve.operators.checks import quality_report, require_clean_bounds, require_on_grid, require_unique
 from sunsieve.plans.clean import STEPS, Step, clean, stage_metrics
 from sunsieve.schema import DAY, TIME_FORMAT
-from sunsieve.sources.files import Reader, aligned, parsed, read_csv, read_first_available, validate
-from sunsieve.sources.shared import landed
+from sunsieve.sources.files import Reader, aligned, parsed, read_csv, read_first_available
+from sunsieve.sources.shared import file_sizes, removed, shared_folder
 from sunsieve.sources.tables import export_gold, load_once
 
 
 @dataclass(frozen=True)
 class Refreshed:
+    """What was published and loaded, what the steps changed, and the state of the data before them."""
+
     uri: str
     load_id: str
     metrics: DataFrame
+    report: DataFrame
 
 
 def refresh(
@@ -30,15 +38,37 @@ def refresh(
     fmt: str = TIME_FORMAT,
     grain: str = DAY,
     strict_grid: bool = False,
+    on_conflict: str = "error",
+    work_dir: str | None = None,
 ) -> Refreshed:
     """Read the first source at hand, validate, clean, publish, load.
 
-    The text is parsed once and landed as Parquet; validation and cleaning read the
-    columns they need from there. The metrics are lazy: they cost a pass when used.
+    The text is parsed once and written below `work_dir` (by default the shared folder);
+    validation and cleaning read the columns they need from there, and it is removed in
+    the end. Bounds, nulls and grid are one pass and come back as the report, off-grid
+    times included, whether or not they abort. Failures are SieveErrors.
     """
-    text = read_first_available(spark, sources, reader)
-    readings = landed(parsed(text, fmt), "readings")
-    validate(readings, strict_grid)
-    rows = aligned(readings)
-    uri = export_gold(clean(rows, steps), root, run_id)
-    return Refreshed(uri, load_once(spark, uri, table, root, grain=grain), stage_metrics(rows))
+    aside = f"{work_dir.rstrip('/')}/readings-{uuid.uuid4().hex}" if work_dir else shared_folder(spark, "readings")
+    try:
+        rows = parsed(read_first_available(spark, sources, reader), fmt)
+        rows.write.parquet(aside)
+        readings = spark.read.schema(rows.schema).parquet(aside)
+        state = quality_report(readings)
+        report = state.collect()
+        if strict_grid:
+            require_on_grid(readings)
+        require_unique(on_grid(readings))
+        require_clean_bounds(report)
+        rows = aligned(readings)
+        uri = export_gold(clean(rows, steps), root, run_id)
+        identity = load_once(spark, uri, table, root, grain=grain, on_conflict=on_conflict)
+        written = F.lit(sum(file_sizes(spark, uri).values())).cast("bigint")
+        metrics = stage_metrics(rows).withColumn("bytes_written", written)
+        metrics = spark.createDataFrame(metrics.collect(), metrics.schema)
+        return Refreshed(uri, identity, metrics, spark.createDataFrame(report, state.schema))
+    except SieveError:
+        raise
+    except Exception as cause:
+        raise TransformError(f"refreshing {table} failed: {cause}") from cause
+    finally:
+        removed(spark, aside)

@@ -54,8 +54,9 @@ GOLD_PREFIX = "gold/pvod_"
 LOAD_PREFIX = "pvod_load_"
 MAX_SCAN_BYTES = 104_857_600
 
-# One or two digits per part, as the usual "%Y-%m-%d %H:%M" accepts.
-TIME_FORMAT = "yyyy-M-d H:m"
+# One or two digits per part, as the usual "%Y-%m-%d %H:%M" accepts; seconds where there are some.
+TIME_FORMAT = "yyyy-M-d H:m[:s][.SSSSSS]"
+WRITTEN_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 READING_TYPES = {TIME: T.TimestampNTZType(), STATION: T.ShortType(), **{c: T.DoubleType() for c in MEASURES}}
 FINAL_TYPES = {**READING_TYPES, **{c: T.DoubleType() for c in DELTAS}}

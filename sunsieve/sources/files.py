@@ -7,11 +7,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunsieve.errors import EmptySource, SieveError, SourceUnavailable, TransformError
+from sunsieve.errors import EmptySource, SieveError, SourceError, SourceUnavailable, TransformError
 from sunsieve.functions.values import blank_tokens
 from sunsieve.operators.align import blank_null_tokens, on_grid, typed, with_deltas
 from sunsieve.operators.checks import require_bounds, require_on_grid, require_unique
-from sunsieve.schema import MEASURES, STATION, STATIONS, TIME_FORMAT
+from sunsieve.schema import MEASURES, STATION, STATIONS, TIME_FORMAT, WRITTEN_FORMAT
 
 Reader = Callable[[SparkSession, str | Sequence[str]], DataFrame]
 
@@ -27,19 +27,22 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; times to the minute, as the loader reads them."""
-    df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm").csv(path)
+    """CSV with a header; times whole, to the microsecond, as the loader reads them."""
+    df.write.option("header", True).option("timestampNTZFormat", WRITTEN_FORMAT).csv(path)
 
 
 def read_first_available(
     spark: SparkSession, sources: Sequence[str], reader: Reader = read_csv
 ) -> DataFrame:
-    """The first source that can be opened. One without even a header ends the search."""
+    """The first source that can be opened. One without even a header ends the search.
+
+    A reader may say with a SourceError that a source is out of reach; the next is then tried.
+    """
     last = None
     for source in sources:
         try:
             found = reader(spark, source)
-        except (PySparkException, Py4JJavaError) as cause:
+        except (PySparkException, Py4JJavaError, SourceError) as cause:
             last = cause
             continue
         if not found.columns:

@@ -15,12 +15,35 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise LoadError("set spark.checkpoint.dir to a folder all executors reach")
         root = tempfile.mkdtemp(prefix="sunsieve-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _listed(spark: SparkSession, folder: str) -> list:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return list(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where))
+
+
+def file_sizes(spark: SparkSession, folder: str, suffix: str = ".parquet") -> dict[str, int]:
+    """Names and sizes of the data files in a folder, by listing it; no job runs."""
+    found = {f.getPath().getName(): f.getLen() for f in _listed(spark, folder) if f.isFile()}
+    return {name: size for name, size in found.items() if name.endswith(suffix)}
+
+
+def folders_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder."""
+    return sorted(f.getPath().getName() for f in _listed(spark, folder) if f.isDirectory())
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared one, wherever that lies."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def landed(df: DataFrame, name: str) -> DataFrame:
     """The frame, written once to the shared folder and read from there.
 

@@ -1,14 +1,16 @@
 """The published file, the partitioned table, and appends that can be repeated."""
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from sunsieve.errors import LoadError, SieveError
 from sunsieve.operators.align import enforce_schema
 from sunsieve.schema import COMPRESSION, DAY, GOLD_PREFIX, LOAD_PREFIX, STATION, TIME
+from sunsieve.sources.shared import removed, shared_folder
 
 MONTH = "month"
 GRAINS = (DAY, MONTH)
@@ -36,22 +38,32 @@ def export_gold(df: DataFrame, root: str, run_id: str | None = None) -> str:
     return path
 
 
-def append_clustered(df: DataFrame, table: str, grain: str = DAY) -> None:
-    """Append to the table, one folder per day or month, rows sorted by station.
+def stored_grain(table: DataFrame) -> str:
+    """The grain a stored table is partitioned by."""
+    found = [g for g in GRAINS if g in table.columns]
+    if len(found) != 1:
+        raise LoadError(f"the table has {found or 'neither'} of the partitions {GRAINS}")
+    return found[0]
+
+
+def _clustered(df: DataFrame, grain: str) -> DataFrameWriter:
+    """A writer of the rows, one folder per day or month, rows sorted by station.
 
     `rebalance` gathers the rows of a partition so that it gets few files, and
     splits it again where it is larger than the advisory size: no task has to write
     a partition that outgrows it.
     """
-    rows = df.withColumn(grain, partition_of(F.col(TIME), grain))
-    (
-        rows.hint("rebalance", grain)
-        .sortWithinPartitions(grain, *KEY)
-        .write.mode("append")
-        .partitionBy(grain)
-        .option("compression", COMPRESSION)
-        .parquet(table)
-    )
+    rows = df.withColumn(grain, partition_of(F.col(TIME), grain)).hint("rebalance", grain)
+    rows = rows.sortWithinPartitions(grain, *KEY)
+    return rows.write.partitionBy(grain).option("compression", COMPRESSION)
+
+
+def append_clustered(df: DataFrame, table: str, grain: str = DAY) -> None:
+    """Append to the table. A table stored by another grain is refused, it could not be read again."""
+    stored = read_table(df.sparkSession, table)
+    if stored is not None and stored_grain(stored) != grain:
+        raise LoadError(f"{table} is stored by {stored_grain(stored)}, not by {grain}")
+    _clustered(df, grain).mode("append").parquet(table)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
@@ -86,9 +98,13 @@ def time_range(df: DataFrame, start: str | datetime, end: str | datetime) -> Dat
 def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and a content hash, the same for any order and partitioning.
 
-    Equal rows cancel in pairs in the hash, which is why the count belongs to it.
+    A column's value and whether it is null are hashed, so a value that moves to
+    another column shows. Two independent hashes are added up over the rows: unlike
+    an XOR, equal rows do not cancel in a sum.
     """
-    return df.agg(F.count("*").alias("n_rows"), F.bit_xor(F.xxhash64(*sorted(df.columns))).alias("content"))
+    cells = [x for c in sorted(df.columns) for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+    return df.agg(F.count("*").alias("n_rows"), F.concat_ws(":", *sums).alias("content"))
 
 
 def load_id(uri: Column, project: Column, dataset: Column, table: Column, content: Column) -> Column:
@@ -96,26 +112,89 @@ def load_id(uri: Column, project: Column, dataset: Column, table: Column, conten
     return F.concat(F.lit(LOAD_PREFIX), F.md5(F.concat(uri, project, dataset, table, content)))
 
 
-def without_known(batch: DataFrame, table: DataFrame, grain: str = DAY) -> DataFrame:
-    """Rows of the batch whose key the table does not hold.
+def _stored_near(batch: DataFrame, table: DataFrame, grain: str) -> DataFrame:
+    """The table's rows in the partitions that the batch touches; the others are not read.
 
-    Only the partitions between the first and last of the batch are read. Null keys
-    equal each other here, so rows without a time are not added twice either.
+    One row per partition of the batch meets the table on the partition column, so a
+    stray old row costs its own partition and no other.
     """
-    part = partition_of(F.col(TIME), grain)
-    span = batch.agg(F.min(part).alias("low"), F.max(part).alias("high")).first()
-    near = F.col(grain).isNull()
-    if span["low"] is not None:
-        near = near | F.col(grain).between(F.lit(span["low"]), F.lit(span["high"]))
-    known = table.where(near).select(*(F.col(c).alias(f"_known_{c}") for c in KEY))
+    parts = batch.select(partition_of(F.col(TIME), grain).alias("_part")).distinct()
+    return table.join(parts, F.col(grain).eqNullSafe(F.col("_part")), "left_semi")
+
+
+def _matched(batch: DataFrame, known: DataFrame, how: str) -> DataFrame:
+    """Join on the key; null keys equal each other, so rows without a time are not added twice."""
+    named = known.select(*(F.col(c).alias(f"_known_{c}") for c in known.columns))
     same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in KEY]
-    return batch.join(known, same[0] & same[1], "left_anti")
+    return batch.join(named, same[0] & same[1], how)
+
+
+def without_known(batch: DataFrame, table: DataFrame, grain: str = DAY) -> DataFrame:
+    """Rows of the batch whose key the table does not hold."""
+    return _matched(batch, _stored_near(batch, table, grain).select(*KEY), "left_anti")
+
+
+def conflicts(batch: DataFrame, table: DataFrame, grain: str = DAY) -> DataFrame:
+    """Keys that the table holds with other values than the batch."""
+    rest = [c for c in batch.columns if c not in KEY and c in table.columns]
+    both = _matched(batch, _stored_near(batch, table, grain).select(*KEY, *rest), "inner")
+    equal = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in rest]
+    return both.where(~reduce(lambda a, b: a & b, equal, F.lit(True))).select(*KEY).distinct()
+
+
+def one_per_key(batch: DataFrame, on_conflict: str = "error") -> DataFrame:
+    """The batch with each key once, whatever the order of its rows.
+
+    Equal repeats are one row. Of repeats with different values the smallest row stays,
+    columns compared in order, or the rows are refused while running ("error").
+    """
+    rest = [c for c in batch.columns if c not in KEY]
+    least, most = F.min(F.struct(*rest)).alias("_row"), F.max(F.struct(*rest)).alias("_last")
+    rows = batch.groupBy(*KEY).agg(least, most)
+    if on_conflict == "error":
+        text = F.concat(F.lit("rows of one station and time differ, at "), F.coalesce(F.col(TIME).cast("string"), F.lit("no time")))
+        rows = rows.where(F.when(F.col("_row").eqNullSafe(F.col("_last")), F.lit(True)).otherwise(F.raise_error(text)))
+    return rows.select(*KEY, "_row.*").select(*batch.columns)
+
+
+def append_new(batch: DataFrame, table: str, grain: str = DAY, on_conflict: str = "error") -> None:
+    """Append the rows whose key is not in the table yet.
+
+    Where the table has the key with other values, `on_conflict` says what holds:
+    "error" refuses the batch with their count and a sample, "keep" leaves the stored
+    row, "replace" takes the new one and rewrites the partitions it lies in.
+    """
+    if on_conflict not in ("error", "keep", "replace"):
+        raise ValueError("on_conflict must be error, keep or replace")
+    spark = batch.sparkSession
+    known = read_table(spark, table)
+    if known is None:
+        return append_clustered(batch, table, grain)
+    if stored_grain(known) != grain:
+        raise LoadError(f"{table} is stored by {stored_grain(known)}, not by {grain}")
+    if on_conflict == "keep":
+        return append_clustered(without_known(batch, known, grain), table, grain)
+    other = conflicts(batch, known, grain)
+    n = other.count()
+    if n and on_conflict == "error":
+        sample = [r.asDict() for r in other.orderBy(*KEY).limit(5).collect()]
+        raise LoadError(f"{table} holds {n} keys of the batch with other values, such as {sample}")
+    if not n:
+        return append_clustered(without_known(batch, known, grain), table, grain)
+    # What stays of the touched partitions, then the batch. It is written aside first: a table
+    # cannot be overwritten while it is read, and a load that breaks can be repeated.
+    stays = _matched(_stored_near(batch, known, grain).select(*batch.columns), batch.select(*KEY), "left_anti")
+    aside = shared_folder(spark, "replaced")
+    try:
+        stays.unionByName(batch).write.parquet(aside)
+        overwrite_partitions(spark.read.parquet(aside), table, grain)
+    finally:
+        removed(spark, aside)
 
 
-def append_new(batch: DataFrame, table: str, grain: str = DAY) -> None:
-    """Append the rows whose key is not in the table yet."""
-    known = read_table(batch.sparkSession, table)
-    append_clustered(batch if known is None else without_known(batch, known, grain), table, grain)
+def overwrite_partitions(rows: DataFrame, table: str, grain: str = DAY) -> None:
+    """Write the rows in place of the partitions they touch; other partitions stay."""
+    _clustered(rows, grain).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
 
 
 def load_once(
@@ -127,10 +206,12 @@ def load_once(
     dataset: str = "",
     name: str = "",
     grain: str = DAY,
+    on_conflict: str = "error",
 ) -> str:
     """Add a published file to the table; a second call with the same file changes nothing.
 
-    The load is noted in `<table>.loads` after the rows are in, and rows are matched
+    A file with other values for keys of the table is refused, unless `on_conflict` says
+    otherwise (see `append_new`); a refused load is not noted. The load is noted in `<table>.loads` after the rows are in, and rows are matched
     by key, so a load that broke half way is finished by calling again. One writer at
     a time is assumed, as plain Parquet has no transactions.
     """
@@ -145,7 +226,7 @@ def load_once(
         done = read_table(spark, ledger)
         if done is not None and not done.where(F.col("load_id") == this).isEmpty():
             return this
-        append_new(batch, table, grain)
+        append_new(batch, table, grain, on_conflict)
         note = spark.range(1).select(F.lit(this).alias("load_id"), F.lit(uri).alias("uri"))
         note.write.mode("append").parquet(ledger)
         return this

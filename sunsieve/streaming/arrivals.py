@@ -1,19 +1,22 @@
 """Readings that keep arriving: row-wise steps on the stream, appends without repeats.
 
-Steps that look at neighbouring rows are not run here. They need rows that have not
-arrived yet, so the days a batch touched are cleaned from the table afterwards.
+Steps that look at neighbouring rows are not run on the stream. They need rows that have
+not arrived yet, so `reclean` runs them afterwards, on the days that a batch touched.
 """
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
 from sunsieve.operators.night import zero_at_night
+from sunsieve.plans.clean import STEPS, Step, clean
 from sunsieve.schema import DAY, MEASURES, STATION, TIME, TIME_FORMAT
 from sunsieve.sources.files import aligned, parsed
-from sunsieve.sources.tables import KEY, append_new
+from sunsieve.sources.shared import removed, shared_folder
+from sunsieve.sources.tables import append_new, one_per_key, overwrite_partitions
 
 HEADER = (TIME, *MEASURES, STATION)
 
@@ -29,15 +32,19 @@ def arriving(
     return zero_at_night(aligned(parsed(lines, fmt)))
 
 
-def keep_appending(stream: DataFrame, table: str, checkpoint: str, grain: str = DAY) -> StreamingQuery:
+def keep_appending(
+    stream: DataFrame, table: str, checkpoint: str, grain: str = DAY, on_conflict: str = "keep"
+) -> StreamingQuery:
     """Append what has arrived and stop; call again for what arrives later.
 
     A key enters the table once: repeats in a batch, across batches and from a batch
-    that is replayed after a failure are all left out.
+    that is replayed after a failure are left out. Repeats with other values follow
+    `on_conflict`, as in `append_new`: by default what came first stays, and of those in
+    one batch the smallest.
     """
 
     def add(batch: DataFrame, _: int) -> None:
-        append_new(batch.dropDuplicates(list(KEY)), table, grain)
+        append_new(one_per_key(batch, on_conflict), table, grain, on_conflict)
 
     return (
         stream.writeStream.foreachBatch(add)
@@ -45,3 +52,29 @@ def keep_appending(stream: DataFrame, table: str, checkpoint: str, grain: str =
         .trigger(availableNow=True)
         .start()
     )
+
+
+def reclean(
+    raw: str, cleaned: str, days: DataFrame, steps: Sequence[Step] = STEPS, reach_days: int = 32, chunk_days: int = 8
+) -> None:
+    """Clean the touched days again from the table of raw readings into the table of cleaned ones.
+
+    `days` holds dates in a column `day`, such as those of a batch. Both tables are stored
+    by day. The windowed steps look `reach_days` to either side for rows near a day and for
+    known values; a gap longer than that is filled from what lies inside the reach. A day's
+    cleaned values can depend on later arrivals, so the days within the reach of a touched one
+    are rewritten too; other partitions stay.
+    """
+    spark = days.sparkSession
+    around = F.explode(F.sequence(F.date_sub("day", reach_days), F.date_add("day", reach_days)))
+    touched = days.select(F.col("day").cast("date").alias("day")).distinct()
+    rewritten = touched.select(around.alias(DAY)).distinct()
+    read = rewritten.select(F.explode(F.sequence(F.date_sub(DAY, reach_days), F.date_add(DAY, reach_days))).alias(DAY))
+    rows = spark.read.parquet(raw).join(read.distinct(), DAY, "left_semi").drop(DAY)
+    aside = shared_folder(spark, "recleaned")
+    try:
+        out = clean(rows, steps, chunk_days=chunk_days).withColumn(DAY, F.col(TIME).cast("date"))
+        out.join(rewritten, DAY, "left_semi").drop(DAY).write.parquet(aside)
+        overwrite_partitions(spark.read.parquet(aside), cleaned, DAY)
+    finally:
+        removed(spark, aside)

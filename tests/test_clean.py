@@ -39,7 +39,7 @@ def test_elevation(spark):
 
 def test_night_is_zero_and_day_is_kept(spark, dirty):
     after = zero_at_night(dirty)
-    for hour, same in ((0, False), (12, True)):
+    for hour, same in ((1, False), (12, True)):
         before, now = (d.where(F.hour(TIME) == hour).select(STATION, TIME, *NIGHT_ZERO) for d in (dirty, after))
         if same:
             assert now.exceptAll(before).isEmpty()
@@ -59,13 +59,14 @@ def test_only_wind_is_filtered(dirty):
     after = hampel(dirty)
     rest = [c for c in dirty.columns if c not in WIND]
     assert after.select(rest).exceptAll(dirty.select(rest)).isEmpty()
-    outlier = (F.col(STATION) == 1) & (F.col(TIME) == F.lit("2018-07-01 12:00:00").cast("timestamp_ntz"))
-    assert dirty.where(outlier).first()["nwp_windspeed"] == 999.9
-    assert after.where(outlier).first()["nwp_windspeed"] == 3.3
+    outlier = (F.col(STATION) == 8) & (F.col(TIME) == F.lit(str(stations.at(71))).cast("timestamp_ntz"))
+    assert dirty.where(outlier).first()["lmd_windspeed"] == -345.5
+    near = sorted([-345.5, *(float(stations.value("lmd_windspeed", 8, i)) for i in (69, 70, 72, 73))])
+    assert after.where(outlier).first()["lmd_windspeed"] == near[2]
 
 
 def test_nothing_is_null_after_imputing(dirty):
-    assert checks.null_counts(dirty).collect()[0].asDict() == {"column": "nwp_temperature", "nulls": 3}
+    assert checks.null_counts(dirty).collect()[0].asDict() == {"column": "lmd_pressure", "nulls": 5}
     assert checks.null_counts(impute(dirty)).isEmpty()
 
 
@@ -120,10 +121,10 @@ def test_errors_of_steps(dirty):
 
 def test_stage_metrics(dirty):
     found = stage_metrics(dirty).first().asDict()
-    assert found["n_rows"] == 960
-    assert (found["nulls_before"], found["nulls_after"], found["nulls_resolved"]) == (3, 0, 3)
+    assert found["n_rows"] == stations.ROWS
+    assert (found["nulls_before"], found["nulls_after"], found["nulls_resolved"]) == (5, 0, 5)
     assert found["outliers"] >= 1
-    assert found["night_percent"] == round(found["night_rows"] / 9.6, 1)
+    assert found["night_percent"] == round(found["night_rows"] / stations.ROWS * 100, 1)
 
 
 def test_stage_metrics_of_nothing(dirty):
@@ -133,15 +134,15 @@ def test_stage_metrics_of_nothing(dirty):
 
 def test_quality_report_counts_everything_at_once(dirty):
     report = {(r["check"], r["column"]): r for r in checks.quality_report(dirty).collect()}
-    assert report["nulls", "nwp_temperature"]["violations"] == 3
+    assert report["nulls", "lmd_pressure"]["violations"] == 5
     assert report["bounds", "nwp_globalirrad"]["violations"] == 0
     assert report["off_grid", TIME]["violations"] == 0
     assert len(report) == 4 + len(MEASURES) + 1
 
 
 def test_row_count_contract(dirty):
-    checks.require_rows(dirty, 960)
-    with pytest.raises(TransformError, match="expected 271968 rows, found 960"):
+    checks.require_rows(dirty, stations.ROWS)
+    with pytest.raises(TransformError, match=f"expected 271968 rows, found {stations.ROWS}"):
         checks.require_rows(dirty)
 
 
@@ -149,3 +150,14 @@ def test_nan_is_out_of_bounds_but_not_missing(spark):
     df = spark.sql("SELECT double('NaN') AS nwp_globalirrad")
     assert checks.irradiance_bounds(df, ["nwp_globalirrad"]).first()["violations"] == 1
     assert checks.null_counts(df, ["nwp_globalirrad"]).isEmpty()
+
+
+def test_callers_may_move_time_and_stations_between_pieces(spark, dirty):
+    newest = F.lit(str(stations.at(0))).cast("timestamp_ntz")
+
+    def backwards(df):
+        assert not [c for c in df.columns if c.startswith("_")]
+        return df.select(*[(newest - (F.col(TIME) - newest)).alias(TIME) if c == TIME else c for c in df.columns])
+
+    found = clean(dirty, [zero_at_night, backwards, impute], chunk_days=1)
+    assert found.exceptAll(impute(backwards(zero_at_night(dirty)))).isEmpty()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import stations
 from sunsieve.errors import AlignmentError, BoundsError, EmptySource, SourceUnavailable, TransformError
 from sunsieve.operators.align import align_join, enforce_schema, on_grid, union_all
-from sunsieve.schema import DELTAS, FINAL_SCHEMA, FINAL_TYPES, MEASURES, STATION, TIME
+from sunsieve.schema import DELTAS, FINAL_SCHEMA, FINAL_TYPES, MEASURES, STATION, TIME, TIME_FORMAT
 from sunsieve.sources.files import consolidate, load_readings, read_csv, read_first_available, write_csv
 
 
@@ -16,7 +16,7 @@ def load(spark, tmp_path, changes=None, **options):
 
 def test_clean_file_loads_whole(spark, tmp_path):
     df = load(spark, tmp_path)
-    assert df.count() == 960
+    assert df.count() == stations.ROWS
     assert dict(df.dtypes)[STATION] == "smallint"
     assert dict(df.dtypes)[TIME] == "timestamp_ntz"
     assert all(dict(df.dtypes)[c] == "double" for c in (*MEASURES, *DELTAS))
@@ -26,7 +26,7 @@ def test_deltas_are_forecast_minus_measurement(spark, tmp_path):
     df = load(spark, tmp_path, stations.NULLS)
     for name, (nwp, lmd) in DELTAS.items():
         assert df.where(~F.col(name).eqNullSafe(F.col(nwp) - F.col(lmd))).isEmpty()
-    assert df.where("delta_temperature IS NULL").count() == 3
+    assert df.where("delta_pressure IS NULL").count() == 5
 
 
 def test_header_order_does_not_matter(spark, tmp_path):
@@ -58,9 +58,9 @@ def test_other_text_in_a_number_is_an_error(spark, tmp_path):
 
 
 def test_times_are_floored(spark, tmp_path):
-    df = load(spark, tmp_path, {(0, 3): {TIME: "2018-07-01 00:52"}})
-    found = df.where((F.col(STATION) == 0) & (F.hour(TIME) == 0)).select(TIME).collect()
-    assert max(r[0] for r in found) == datetime(2018, 7, 1, 0, 45)
+    df = load(spark, tmp_path, {(0, 3): {TIME: "2021-03-09 19:22"}})
+    found = df.where(F.col(STATION) == 0).orderBy(TIME).select(TIME).collect()
+    assert found[3][0] == stations.at(3) == datetime(2021, 3, 9, 19, 15)
 
 
 def test_floor_keeps_null_and_drops_fractions(spark):
@@ -89,7 +89,7 @@ def test_station_out_of_range_is_an_error(spark, tmp_path, station):
 
 def test_duplicates_abort(spark, tmp_path):
     with pytest.raises(AlignmentError, match="1 duplicate"):
-        load(spark, tmp_path, {(4, 5): {TIME: "2018-07-01 01:05"}})
+        load(spark, tmp_path, {(4, 5): {TIME: "2021-03-09 19:33"}})
 
 
 def test_null_times_of_a_station_are_duplicates(spark, tmp_path):
@@ -99,14 +99,14 @@ def test_null_times_of_a_station_are_duplicates(spark, tmp_path):
 
 
 def test_off_grid_aborts_on_demand_only(spark, tmp_path):
-    change = {(0, 95): {TIME: "2018-07-01 23:46"}}
-    assert load(spark, tmp_path, change).count() == 960
+    change = {(0, 95): {TIME: str(stations.at(95).replace(minute=stations.at(95).minute + 1))}}
+    assert load(spark, tmp_path, change).count() == stations.ROWS
     with pytest.raises(AlignmentError, match="off the grid"):
         load(spark, tmp_path, change, strict_grid=True)
 
 
 def test_bounds_abort_with_count_and_range(spark, tmp_path):
-    with pytest.raises(BoundsError, match="nwp_globalirrad: 1 values out of range, from -50.0"):
+    with pytest.raises(BoundsError, match="lmd_diffuseirrad: 1 values out of range, from -0.25"):
         load(spark, tmp_path, stations.NEGATIVE)
 
 
@@ -155,7 +155,7 @@ def test_final_schema(spark, tmp_path):
     df = load(spark, tmp_path).withColumn("more", F.lit(1)).select("more", *reversed(list(FINAL_TYPES)))
     final = enforce_schema(df)
     assert [(f.name, f.dataType) for f in final.schema] == [(f.name, f.dataType) for f in FINAL_SCHEMA]
-    assert final.count() == 960
+    assert final.count() == stations.ROWS
     with pytest.raises(TransformError, match=r"\['lmd_pressure', 'power'\]"):
         enforce_schema(df.drop("power", "lmd_pressure"))
 
@@ -185,3 +185,25 @@ def test_union_needs_equal_schemas(spark):
     assert union_all([one, one, one]).count() == 6
     with pytest.raises(TransformError):
         union_all([one, one.withColumn("id", F.col("id").cast("int"))])
+
+
+def test_times_are_written_whole(spark, tmp_path):
+    df = spark.sql("SELECT timestamp_ntz'2024-05-06 00:07:31' AS date_time UNION ALL SELECT timestamp_ntz'2024-05-06 00:00:00.25'")
+    write_csv(df, str(tmp_path / "out"))
+    back = read_csv(spark, str(tmp_path / "out")).select(F.to_timestamp_ntz(TIME, F.lit(TIME_FORMAT)).alias(TIME))
+    assert back.exceptAll(df).isEmpty() and back.count() == 2
+
+
+def test_a_reader_without_its_files_lets_the_next_source_answer(spark, tmp_path):
+    for s in range(10):
+        stations.write(tmp_path / f"station{s:02d}.csv", [stations.row(s, 0)], [TIME, *MEASURES])
+    (tmp_path / "none").mkdir()
+    found = read_first_available(spark, [str(tmp_path / "none"), str(tmp_path)], consolidate)
+    assert found.count() == 10
+
+
+def test_stations_out_of_range_are_refused_whatever_their_type(spark, tmp_path):
+    df = load(spark, tmp_path).limit(1)
+    for kind in ("smallint", "bigint"):
+        with pytest.raises(Exception, match="out of 0..255"):
+            enforce_schema(df.withColumn(STATION, F.lit(999).cast(kind))).collect()

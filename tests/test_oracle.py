@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from sunsieve import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,7 @@ def rows(table) -> list[str]:
 
 def test_names_match():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert set(QUERIES) - set(SQL) == {"scan_estimate", "fingerprint"}
 
 

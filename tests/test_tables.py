@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import stations
-from sunsieve.errors import LoadError, QueryError
+from sunsieve.errors import LoadError, QueryError, TransformError
 from sunsieve.operators.align import enforce_schema
 from sunsieve.plans import metrics
 from sunsieve.plans.refresh import refresh
@@ -19,12 +19,13 @@ from sunsieve.streaming.arrivals import HEADER, arriving, keep_appending
 @pytest.fixture(scope="module")
 def rows(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("in") / "rows.csv"
-    return load_readings(spark, stations.write(path, stations.rows())).cache()
+    """The one day of the network that is whole: 96 rows of ten stations."""
+    return load_readings(spark, stations.write(path, stations.rows())).where("date(date_time) = '2021-03-10'").cache()
 
 
 def days(rows, n):
     """The day repeated on n consecutive days, over a month's end."""
-    later = F.explode(F.sequence(F.lit(29), F.lit(28 + n))).alias("later")
+    later = F.explode(F.sequence(F.lit(20), F.lit(19 + n))).alias("later")
     moved = rows.select("*", later).withColumn(TIME, F.expr("date_time + make_dt_interval(later)"))
     return enforce_schema(moved)
 
@@ -64,18 +65,18 @@ def test_partitions_by_grain(spark, rows, tmp_path, grain, folders):
     assert sum(f.startswith(f"{grain}=") for f in os.listdir(where)) == folders
     stored = spark.read.parquet(where)
     assert stored.drop(grain).exceptAll(days(rows, 5)).isEmpty() and stored.count() == 4800
-    part = tables.time_range(stored, "2018-07-31 06:00:00", datetime(2018, 8, 1, 6))
+    part = tables.time_range(stored, "2021-03-31 06:00:00", datetime(2021, 4, 1, 6))
     assert part.count() == (96 + 1) * 10
 
 
 def test_a_range_opens_only_its_partitions(spark, rows, tmp_path):
     where = str(tmp_path / "table")
     tables.append_clustered(days(rows, 5), where)
-    part = tables.time_range(spark.read.parquet(where), "2018-07-31", "2018-07-31 23:59:59")
+    part = tables.time_range(spark.read.parquet(where), "2021-03-31", "2021-03-31 23:59:59")
     assert len({r[0] for r in part.select(F.input_file_name()).collect()}) == 1
     scan = next(line for line in part._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line)
     assert "PartitionFilters: [isnotnull(day" in scan and "GreaterThanOrEqual(date_time" in scan
-    one, all_days = (metrics.scan_estimate(spark, where, "2018-07-01", end).first() for end in ("2018-07-30", "2018-09-01"))
+    one, all_days = (metrics.scan_estimate(spark, where, "2021-03-01", end).first() for end in ("2021-03-30", "2021-05-01"))
     assert (one["partitions"], all_days["partitions"]) == (1, 5)
     assert 0 < one["bytes"] < all_days["bytes"]
     assert metrics.scan_estimate(spark, where, "2001-01-01", "2001-01-02").first().asDict() == {"partitions": 0, "files": 0, "bytes": 0}
@@ -90,7 +91,7 @@ def test_a_large_day_is_written_by_several_tasks(spark, rows, tmp_path):
         tables.append_clustered(many, where)
     finally:
         spark.conf.set(size, before)
-    assert sum(f.endswith(".parquet") for f in os.listdir(f"{where}/day=2018-07-01")) > 1
+    assert sum(f.endswith(".parquet") for f in os.listdir(f"{where}/day=2021-03-10")) > 1
     assert spark.read.parquet(where).count() == 960 * 40
 
 
@@ -151,7 +152,7 @@ def test_bound_values_are_not_query_text(spark, rows):
 
 def test_table_query_dry_run_and_cap(spark, rows, tmp_path):
     where = str(tmp_path / "table")
-    range_ = "2018-07-01", "2018-07-01 23:59:59"
+    range_ = "2021-03-10", "2021-03-10 23:59:59"
     with pytest.raises(QueryError, match="no table"):
         metrics.query_average_power(spark, where, *range_)
     tables.append_clustered(enforce_schema(rows), where)
@@ -167,6 +168,87 @@ def test_preview_and_counts(rows):
     assert [tuple(r) for r in metrics.station_counts(rows).collect()] == [(s, 96) for s in range(10)]
 
 
+def test_fingerprint_sees_nulls_move_and_pairs_change(spark):
+    def of(values):
+        return tables.fingerprint(spark.createDataFrame(values, "a double, b double")).first()
+
+    assert of([(1.0, None)]) != of([(None, 1.0)])
+    assert of([(1.0, 2.0), (1.0, 2.0), (5.0, 5.0)]) != of([(3.0, 4.0), (3.0, 4.0), (5.0, 5.0)])
+
+
+def test_other_values_for_known_keys_follow_the_policy(spark, rows, tmp_path):
+    root = str(tmp_path)
+    changed = rows.withColumn("power", F.when(F.col(STATION) == 2, F.lit(-1.0)).otherwise(F.col("power")))
+    uris = [tables.export_gold(df, root, name) for df, name in ((rows, "one"), (changed, "two"))]
+    for policy, expected in (("keep", 0), ("replace", 96)):
+        where = f"{root}/{policy}"
+        for uri in uris:
+            tables.load_once(spark, uri, where, root, on_conflict=policy)
+        stored = spark.read.parquet(where)
+        assert stored.count() == 960 and stored.where("power = -1").count() == expected
+    tables.load_once(spark, uris[0], f"{root}/error", root)
+    with pytest.raises(LoadError, match="holds 96 keys"):
+        tables.load_once(spark, uris[1], f"{root}/error", root)
+    assert spark.read.parquet(f"{root}/error.loads").count() == 1
+
+
+def test_replacing_leaves_other_partitions_alone(spark, rows, tmp_path):
+    where = str(tmp_path / "table")
+    tables.append_clustered(days(rows, 3), where)
+    before = {d: sorted(os.listdir(f"{where}/{d}")) for d in os.listdir(where) if d.startswith("day=")}
+    one = days(rows, 1).withColumn("power", F.lit(-1.0))
+    tables.append_new(one, where, on_conflict="replace")
+    after = {d: sorted(os.listdir(f"{where}/{d}")) for d in before}
+    assert [d for d in before if before[d] != after[d]] == ["day=2021-03-30"]
+    assert spark.read.parquet(where).where("power = -1").count() == 960
+
+
+def test_a_table_keeps_its_grain(spark, rows, tmp_path):
+    where = str(tmp_path / "table")
+    tables.append_clustered(enforce_schema(rows), where, "month")
+    for write in (tables.append_clustered, tables.append_new):
+        with pytest.raises(LoadError, match="stored by month"):
+            write(enforce_schema(rows), where, "day")
+    range_ = "2021-03-10", "2021-03-10 23:59:59"
+    assert metrics.query_average_power(spark, where, *range_).count() == 10
+    with pytest.raises(QueryError, match="stored by month"):
+        metrics.scan_estimate(spark, where, *range_, grain="day")
+
+
+def test_estimates_are_what_a_listing_says(spark, rows, tmp_path):
+    where = str(tmp_path / "table")
+    tables.append_clustered(days(rows, 3), where)
+    sizes = [os.path.getsize(f"{where}/day=2021-03-31/{f}") for f in os.listdir(f"{where}/day=2021-03-31") if f.endswith(".parquet")]
+    found = metrics.scan_estimate(spark, where, "2021-03-31", "2021-03-31 12:00:00").first()
+    assert tuple(found) == (1, len(sizes), sum(sizes))
+    answer = metrics.answer_average_power(spark, where, "2021-03-31", "2021-03-31 12:00:00")
+    assert (answer.total_rows, answer.bytes_processed, len(answer.rows)) == (10, sum(sizes), 10)
+
+
+def test_failures_of_questions_are_query_errors(spark, rows, tmp_path):
+    where = str(tmp_path / "table")
+    tables.append_clustered(enforce_schema(rows), where)
+    with pytest.raises(QueryError, match="failed"):
+        metrics.answer_average_power(spark, where, "no date", "2021-03-31")
+
+
+def test_repeats_in_a_batch_do_not_depend_on_order(spark, rows):
+    two = enforce_schema(rows).limit(1)
+    other = two.withColumn("power", F.col("power") + 1)
+    for pair in (two.union(other), other.union(two).union(two)):
+        assert tables.one_per_key(pair, "keep").exceptAll(two).isEmpty()
+        with pytest.raises(Exception, match="differ"):
+            tables.one_per_key(pair).collect()
+
+
+def test_a_failed_refresh_is_a_transform_error_and_leaves_nothing_behind(spark, tmp_path):
+    path = stations.write(tmp_path / "in.csv", stations.rows({(0, 0): {"power": "many"}}))
+    work = tmp_path / "work"
+    with pytest.raises(TransformError):
+        refresh(spark, [path], str(tmp_path / "out"), str(tmp_path / "table"), work_dir=str(work))
+    assert not work.exists() or os.listdir(work) == []
+
+
 def test_refresh_end_to_end(spark, tmp_path):
     path = stations.write(tmp_path / "in.csv", stations.rows({**stations.NULLS, **stations.OUTLIER}))
     root = str(tmp_path / "out")
@@ -174,8 +256,9 @@ def test_refresh_end_to_end(spark, tmp_path):
     again = refresh(spark, [path], root, f"{root}/table", run_id="r2")
     assert done.load_id != again.load_id
     stored = spark.read.parquet(f"{root}/table")
-    assert stored.count() == 960 and stored.where("nwp_windspeed > 900 OR nwp_temperature IS NULL").isEmpty()
-    assert done.metrics.first()["nulls_resolved"] == 3
+    assert stored.count() == stations.ROWS and stored.where("lmd_windspeed < -300 OR lmd_pressure IS NULL").isEmpty()
+    assert done.metrics.first()["nulls_resolved"] == 5 and done.metrics.first()["bytes_written"] > 0
+    assert done.report.where("check = 'nulls' AND violations = 5").count() == 1
 
 
 def test_arrivals_enter_once(spark, tmp_path):
@@ -190,6 +273,6 @@ def test_arrivals_enter_once(spark, tmp_path):
 
     assert follow().count() == 200
     stations.write(inbox / "b.csv", lines[150:], HEADER)
-    assert follow().count() == 960
-    assert follow("other").count() == 960
+    assert follow().count() == stations.ROWS
+    assert follow("other").count() == stations.ROWS
     assert follow().where("hour(date_time) = 0 AND power <> 0").isEmpty()
