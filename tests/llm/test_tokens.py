@@ -1,0 +1,153 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import odd
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from sunsieve.llm import byte_bpe, packing, separators
+from sunsieve.llm.common import open_store
+from sunsieve.llm.tokenizer import WordBpe, packed, read_ranks, spans, vocabulary
+from sunsieve.sources.shared import shared_folder
+
+BYTES, WORDS = vocabulary("byte_bpe_multi_50k.tiktoken"), vocabulary("word_bpe_49k.json")
+MIXED = " \n\t  abcABC.,'\x1c\x1d\x85  éß漢字🙂1٣\x00́ΣİǅΩK"
+
+
+@pytest.fixture(scope="module")
+def gpt():
+    return tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(BYTES), special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def clip():
+    found = Tokenizer.from_file(WORDS)
+    found.encode_special_tokens = True
+    return found
+
+
+def texts(n=400):
+    rnd = random.Random(5)
+    made = ["".join(rnd.choice(MIXED) for _ in range(rnd.randint(0, 50))) for _ in range(n)]
+    return [*made, "", "  ", "a" * 3000, "it's they'll don't", " x" * 3000, "y\n  z " * 3000]
+
+
+def test_byte_bpe_is_the_tiktoken_encoding(gpt):
+    own = byte_bpe.codec(BYTES, public_tokenizers.PATTERN)
+    found = own.encode(texts())
+    assert found == [packed(gpt.encode_ordinary(x)) for x in texts()]
+    assert [own.decode(x) for x in found] == [x.encode() for x in texts()]
+
+
+def test_the_model_is_read_back_by_sentencepiece():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257}
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_proto=byte_bpe.model_bytes(ranks))
+    assert model.get_piece_size() == 259 and model.encode(byte_bpe.as_piece(b"abcab ")) == [257, 256, 32]
+    with pytest.raises(ValueError, match="gaps"):
+        byte_bpe.model_bytes({b"a": 0, b"b": 2})
+
+
+def test_long_texts_are_cut_between_words():
+    text = "ab cd  ef\ngh ij" * 50
+    assert "".join(spans(text, 10)) == text and len(spans(text, 10)) > 10
+    assert spans("x" * 100, 10) == ["x" * 100]
+
+
+def test_byte_bpe_of_odd_documents(spark, gpt):
+    found = byte_bpe.encode_documents(odd.documents(spark), BYTES, public_tokenizers.PATTERN).collect()
+    want = Counter((d, bytes(packed(gpt.encode_ordinary(t or "")))) for d, t, _ in odd.ROWS)
+    assert Counter((r.doc_id, bytes(r.ids)) for r in found) == want
+    assert {bytes(r.decoded) for r in found} == {(t or "").encode() for _, t, _ in odd.ROWS}
+    assert byte_bpe.encode_documents(odd.documents(spark, []), BYTES, public_tokenizers.PATTERN).isEmpty()
+
+
+def test_words_are_the_tokenizers_encoding(clip):
+    own = WordBpe(WORDS)
+    own.words.most = own.letters.most = 50  # most words only pass through
+    for _ in range(2):
+        assert own.encode(texts()) == [packed(clip.encode(x, add_special_tokens=False).ids) for x in texts()]
+
+
+def test_token_counts_of_odd_documents(spark, gpt):
+    found = separators.count_tokens(odd.documents(spark), BYTES, 50256).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in found) == Counter((d, len(gpt.encode_ordinary(t or ""))) for d, t, _ in odd.ROWS)
+    assert separators.count_tokens(odd.documents(spark, []), BYTES, 50256).isEmpty()
+
+
+@pytest.mark.parametrize("block", [1, 3, 7, 1000])
+def test_separators_are_stitched_over_blocks(spark, block):
+    rnd, folder = random.Random(block), shared_folder(spark, "flat")
+    store, at = open_store(folder)
+    store.create_dir(at)
+    want = []
+    files = {"none": [], "ends": [0, 0], "open": [5] * 20}
+    files |= {f"f{k}": [rnd.choice([0, 1, 2, 9, 9, 9]) for _ in range(rnd.randint(1, 60))] for k in range(4)}
+    for name, ids in files.items():
+        with store.open_output_stream(f"{at}/{name}") as out:
+            out.write(np.array(ids, dtype="<u4").tobytes())
+        start, n = 0, 0
+        for k, x in enumerate(ids):
+            if x in (0, 1):
+                want.append((name, n, start, k - start, True))
+                start, n = k + 1, n + 1
+        if start < len(ids):
+            want.append((name, n, start, len(ids) - start, False))
+    names = spark.createDataFrame([(x,) for x in [*files, "f0"]], "file string")
+    found = separators.separator_scan(names, folder, [0, 1], "<u4", block).collect()
+    assert sorted(tuple(r) for r in found) == sorted(want)
+
+
+def test_packing_places_every_token_once():
+    rnd = random.Random(2)
+    for _ in range(60):
+        lengths = [min(20_000, int(rnd.paretovariate(0.8) * rnd.choice([1, 30, 300]))) for _ in range(rnd.randint(0, 300))]
+        windows, left = packing.pack(lengths)
+        parts = defaultdict(list)
+        for w in windows:
+            assert sum(p.length for p in w.pieces) == w.used == w.tier
+            for p in w.pieces:
+                parts[p.row].append((p.start, p.length))
+        assert not left and sum(w.tier & (w.tier - 1) > 0 for w in windows) <= 1
+        for k, n in enumerate(lengths):
+            ends = [0]
+            for start, length in sorted(parts[k]):
+                assert start == ends[-1] and length > 0
+                ends.append(start + length)
+            assert ends[-1] == n
+        loads = Counter()
+        for w, g in zip(windows, packing.step_groups(windows)):
+            loads[g] += w.used
+        assert not loads or max(loads.values()) - min(loads.values()) <= 4096
+
+
+def test_gaps_of_long_windows_are_filled_from_shorter_tiers():
+    windows, _ = packing.pack([3000, 1000, 96, 400, 112])
+    long = next(w for w in windows if w.tier == 4096)
+    assert [p.length for p in long.pieces] == [3000, 1000, 96]
+    assert next(w for w in windows if w.tier == 512).used == 512
+
+
+def test_packing_of_odd_documents(spark, clip):
+    want = {d: packed([*clip.encode(t or "", add_special_tokens=False).ids, 2]) for d, t, _ in odd.ROWS}
+    rows = packing.pack_documents(odd.documents(spark), WORDS, pool_tokens=1000).collect()
+    ids = defaultdict(list)
+    for r in rows:
+        assert r.length * 4 == len(r.ids) and r.doc_tokens * 4 == len(want[r.doc_id])
+        assert bytes(r.ids) == want[r.doc_id][4 * r.start : 4 * (r.start + r.length)]
+        ids[r.doc_id].append(r.length)
+    assert {d: sum(n) for d, n in ids.items()} == {d: len(x) // 4 * (2 if d == 6 else 1) for d, x in want.items()}
+    places = defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert packing.pack_documents(odd.documents(spark, []), WORDS).isEmpty()
