@@ -6,13 +6,15 @@ among the first n - ceil(t n) + 1 of each, so only these prefixes are indexed an
 positional and suffix filters drop what cannot reach the threshold, and each remaining pair is
 verified once, on the whole sets.
 
-A shingle's group of m nodes is never expanded into pairs. First each node meets only the group's
-leader, the node in which the shingle stands earliest. The components of those links are then taken
-as known, and only pairs of different components are tried, for all groups that hold several. What
-is left out lies inside a component already, so the components are those of all links.
+A shingle's group of m nodes is never expanded into pairs. First each node meets only one of its
+groups' leaders, the nodes in which a shingle stands earliest. The components of those links are
+then taken as known, and only pairs of different components are tried: first of nodes and other
+leaders, then all others of groups that hold several components. What is left out lies inside a
+component already, so the components are those of all links.
 """
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ CHUNKS = 64
 #: Nodes a task remembers so as not to index copies again.
 REMEMBERED = 1 << 20
 
-_BINS = 8  # of the suffix filter, a byte each
+_BINS = 4  # of the suffix filter, a byte each
 
 
 def _slots(shingles: np.ndarray, counters: int) -> np.ndarray:
@@ -95,12 +97,12 @@ def _frequencies(scanned: DataFrame, counters: int) -> np.ndarray:
 
 def _suffix_bins(bins: np.ndarray, prefix: int) -> np.ndarray:
     """For each prefix position the counts, by bin, of the shingles behind it; a byte a bin, 255 at most."""
-    out = np.zeros(prefix, dtype=np.uint64)
+    out = np.zeros(prefix, dtype=np.uint32)
     for b in range(_BINS):
         hit = (bins == b).astype(np.int64)
         behind = hit.sum() - np.cumsum(hit[:prefix])
-        out |= np.minimum(behind, 255).astype(np.uint64) << np.uint64(8 * b)
-    return out
+        out |= np.minimum(behind, 255).astype(np.uint32) << np.uint32(8 * b)
+    return out.view(np.int32)
 
 
 def _index(docs: DataFrame, frequencies: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -123,13 +125,13 @@ def _index(docs: DataFrame, frequencies: np.ndarray, width: int, percent: int) -
                     order = np.argsort(counts[_slots(x, len(counts))], kind="stable")
                     prefix = n - math.ceil(percent * n / 100) + 1
                     x = x[order]
-                    bins = (mix(x) >> np.uint64(61)).astype(np.int64)
+                    bins = (mix(x) >> np.uint64(62)).astype(np.int64)
                     whole = np.full(prefix, node, dtype=np.int64), np.full(prefix, n, dtype=np.int32)
-                    parts.append((x[:prefix].view(np.int64), *whole, np.arange(prefix, dtype=np.int32), _suffix_bins(bins, prefix).view(np.int64)))
+                    parts.append((x[:prefix].view(np.int64), *whole, np.arange(prefix, dtype=np.int32), _suffix_bins(bins, prefix)))
                 if parts:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
 
-    return _texts(docs).mapInArrow(step, "token long, node long, size int, pos int, suffix long")
+    return _texts(docs).mapInArrow(step, "token long, node long, size int, pos int, suffix int")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -175,7 +177,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, width: int,
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
     similar = 100 * both >= percent * (F.size("of_a") + F.size("of_b") - both)
-    return pairs.join(right, "b").join(left, "a").where(similar).select("a", "b")
+    # Few pairs meet the sets where these lie; only the sets of pairs are then shuffled.
+    found = right.join(maybe_broadcast(pairs, pairs.count()), "b")
+    return found.join(left, "a").where(similar).select("a", "b")
 
 
 def _ordered(a: str, b: str) -> tuple[Column, Column]:
@@ -207,24 +211,40 @@ def near_duplicates(
     )
     shared = landed(shared, "shared")
     led = shared.where("node <> leader_node").where(_may_link("", "leader_", percent))
-    tried = landed(led.select(*_ordered("node", "leader_node")).distinct(), "pairs")
-    links = landed(_verified(tried, docs, full, width, percent), "verified")
-    known = components(links)
-
-    more = _across(shared.drop("leader_node", "leader_size", "leader_pos", "leader_suffix"), known, percent)
-    more = landed(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-    added = landed(_verified(more, docs, full, width, percent), "verified")
-    if not added.isEmpty():
-        known = components(known.select(F.col("node").alias("a"), F.col("label").alias("b")).union(added))
+    led = landed(led.groupBy("node", "leader_node").agg(F.count("*").alias("n")), "led")
+
+    # Each node's best leader first; then the other leaders, then all other pairs, of different components.
+    best = led.groupBy("node").agg(F.max_by("leader_node", F.struct("n", "leader_node")).alias("leader_node"))
+    known = None
+    tried = pairs = landed(best.select(*_ordered("node", "leader_node")).distinct(), "pairs")
+    for find in (lambda: _apart(led, known), lambda: _across(shared, known, percent), None):
+        links = landed(_verified(pairs, docs, full, width, percent), "verified")
+        if known is None or not links.isEmpty():
+            old = [] if known is None else [known.select(F.col("node").alias("a"), F.col("label").alias("b"))]
+            known = landed(components(reduce(DataFrame.union, old, links)), "known")
+        if find:
+            pairs = landed(find().join(tried, ["a", "b"], "left_anti"), "pairs")
+            tried = tried.union(pairs)
     return _named(members, known)
 
 
+def _apart(led: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs of nodes and leaders that are not in one component."""
+    other = known.select(F.col("node").alias("leader_node"), F.col("label").alias("leader_label"))
+    n = known.count()
+    pairs = led.join(maybe_broadcast(known, n), "node", "left").join(maybe_broadcast(other, n), "leader_node", "left")
+    one = F.coalesce("label", "node") == F.coalesce("leader_label", "leader_node")
+    return pairs.where(~one).select(*_ordered("node", "leader_node")).distinct()
+
+
 def _across(shared: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes from different components that share a prefix shingle and pass the filters."""
-    own = shared.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = shared.select("token", "node", "size", "pos", "suffix")
+    own = own.join(maybe_broadcast(known, known.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
     main = F.min_by("label", F.struct("pos", "size", "node")).alias("main")
     groups = own.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), main)
-    mixed = landed(own.join(groups.where("low <> high").select("token", "main"), "token"), "mixed")
+    groups = landed(groups.where("low <> high").select("token", "main"), "groups")
+    mixed = landed(own.join(maybe_broadcast(groups, groups.count()), "token"), "mixed")
     # Of each group, what is outside its leader's component, against all the rest.
     outside = mixed.where("label <> main").select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "size", "pos", "suffix", "label")))
     once = (F.col("label") == F.col("main")) | (F.col("x_node") < F.col("node"))
