@@ -20,6 +20,8 @@ from sunsieve.sources.shared import landed, shared_folder
 
 #: Tokens of a block: what a task holds at once.
 BLOCK_TOKENS = 1 << 20
+#: Blocks that a task scans one after the other.
+TASK_BLOCKS = 8
 
 
 @functools.lru_cache(maxsize=2)
@@ -90,7 +92,9 @@ def scan_blocks(files: DataFrame, folder: str, end_ids: list[int], dtype: str, b
                 )
 
     blocks = files.select("file").distinct().mapInArrow(cut, "file string, block long, file_tokens long")
-    blocks = blocks.repartition("file", "block")
+    # By number: rows this small would otherwise be put into one task, with all the bytes they stand for.
+    blocks = landed(blocks, "ranges")
+    blocks = blocks.repartition(1 + blocks.count() // TASK_BLOCKS, "file", "block")
     return blocks.mapInArrow(scan, "file string, block long, n_tokens long, places array<long>")
 
 
