@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunsieve.llm.common import Batches, runs, text_of
-from sunsieve.llm.tokenizer import Known, packed, read_ranks, spans
+from sunsieve.llm.tokenizer import KNOWN_PARTS, Known, packed, read_ranks, spans
 
 NORMAL, UNKNOWN, BPE = 1, 2, 2
 
@@ -81,7 +81,7 @@ class ByteBpe:
         self.model = SentencePieceProcessor(model_proto=model_bytes(self.ranks))
         self.bytes_of = sorted(self.ranks, key=self.ranks.__getitem__)
         self.pattern = regex.compile(pattern)
-        self.tokens = Known(self._encode_tokens)
+        self.tokens = Known(self._encode_tokens, KNOWN_PARTS)
         #: Words with the space before them; None for those that may join their neighbours.
         self.words = Known(self._encode_words)
 

@@ -16,8 +16,8 @@ import numpy as np
 import public_tokenizers
 import regex
 
-#: Entries that a table of known pieces keeps, so that a worker's memory is bounded.
-KNOWN = 900_000
+#: Entries that a table of known words keeps, and one of known parts of words, so that a worker's memory is bounded.
+KNOWN, KNOWN_PARTS = 450_000, 150_000
 #: Characters of a text that are looked up at once.
 SPAN = 1 << 20
 
@@ -83,7 +83,7 @@ class WordBpe:
         self.model.encode_special_tokens = True
         self.ends = np.zeros(self.model.get_vocab_size(), dtype=bool)
         self.ends[[i for x, i in self.model.get_vocab().items() if x.endswith("</w>")]] = True
-        self.letters = Known(self._encode_letters)
+        self.letters = Known(self._encode_letters, KNOWN_PARTS)
         self.words = Known(self._encode_words)
 
     def _encode_each(self, pieces: list[str]) -> list[bytes]:
