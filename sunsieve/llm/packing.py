@@ -24,7 +24,9 @@ from sunsieve.llm.tokenizer import word_bpe
 #: Lengths of sequences, all powers of two.
 TIERS = (512, 1024, 2048, 4096)
 #: Tokens that a task holds before it packs them.
-POOL_TOKENS = 1 << 21
+POOL_TOKENS = 1 << 20
+#: Text that is tokenized at once.
+RUN_BYTES = 1 << 19
 #: Tokens of a step group: so many long windows, or as many tokens in shorter ones.
 STEP_TOKENS = 16 * 4096
 #: What a last rest is cut into, down to this length; the remainder is one padded sequence.
@@ -225,7 +227,7 @@ def pack_documents(
 
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for run in runs(batch, "text"):
+            for run in runs(batch, "text", RUN_BYTES):
                 for doc, ids in zip(run.column("doc_id").to_pylist(), own.encode(run.column("text").to_pylist())):
                     ids += end
                     pool.append((doc, 0, len(ids) // 4, ids))

@@ -17,7 +17,7 @@ import public_tokenizers
 import regex
 
 #: Entries that a table of known words keeps, and one of known parts of words, so that a worker's memory is bounded.
-KNOWN, KNOWN_PARTS = 450_000, 150_000
+KNOWN, KNOWN_PARTS = 200_000, 100_000
 #: Characters of a text that are looked up at once.
 SPAN = 1 << 20
 
