@@ -2,7 +2,9 @@
 
 Two models of character pairs, one of random strings and one of ordinary identifiers, score each
 long run of identifier characters; the log-likelihood ratio decides. They are trained from labelled
-samples: what the patterns find in the corpus is random, other runs are ordinary.
+samples: what the patterns find in the corpus is random; words, numbers and the runs made of them are
+ordinary. Which kind of character follows which is learnt from samples with digits alone, as only runs
+with digits are scored: next to the many words without one, any digit would look random.
 """
 
 import re
@@ -33,6 +35,13 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _PLACE = np.full(128, len(ALPHABET), dtype=np.int64)
 _PLACE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 _STATES = len(ALPHABET) + 1
+#: Kinds of characters: capitals, small letters, digits, marks and the rest, which is also the start.
+_CLASS = np.repeat(np.arange(5), (26, 26, 10, 5, 1))
+
+#: Candidates for ordinary samples, and the words and numbers that those with digits are made of.
+CANDIDATE, DIGIT, WORD = re.compile(r"[A-Za-z0-9+/_=-]{5,}"), re.compile(r"[0-9]"), re.compile(r"[A-Za-z_-]{5,}")
+PART, PIECE = re.compile(r"[A-Za-z0-9]+"), re.compile(r"[0-9]+|[A-Z]?[a-z]+|[A-Z]+")
+LEAST_PIECE = 3
 
 #: Documents whose runs train the models: those with the smallest hashes of the text.
 TRAINING_DOCUMENTS = 5_000
@@ -70,6 +79,27 @@ def other_runs(text: str, taken: list[Span]) -> list[Span]:
     return [x for x in found if all(x.end <= t.start or t.end <= x.start for t in taken)]
 
 
+def words_and_numbers(run: str) -> bool:
+    """Whether each part between marks is a word, a number or both, or changes between them seldom."""
+    for part in PART.findall(run):
+        n = len(PIECE.findall(part))
+        if n > 2 and len(part) < LEAST_PIECE * n:
+            return False
+    return True
+
+
+def ordinary_samples(text: str, taken: list[Span]) -> list[str]:
+    """Words, numbers and runs of both that no base span touches; a run that looks random gives none."""
+    out = []
+    for m in CANDIDATE.finditer(text):
+        if not DIGIT.search(m[0]):
+            found = WORD.finditer(text, m.start(), m.end())
+        else:
+            found = [m] if words_and_numbers(m[0]) else []
+        out += [x[0] for x in found if all(x.end() <= t.start or t.end <= x.start() for t in taken)]
+    return out
+
+
 def pairs(run: str) -> np.ndarray:
     """The run's character pairs as numbers, the first after a start state of its own."""
     codes = np.frombuffer(run.encode("ascii", "replace"), dtype=np.uint8)
@@ -89,14 +119,21 @@ class Models:
 
 
 def fit(random: np.ndarray, ordinary: np.ndarray, log_odds: float = LOG_ODDS) -> Models:
-    """Models from counts of character pairs in labelled samples, each pair seen once more than it was.
+    """Models from counts of character pairs in labelled samples: of those without and of those with digits.
 
-    Without samples a model is uniform, so that two untrained models find nothing.
+    P(next) is P(its kind), from the samples with digits, times P(next, given its kind), from all;
+    each is smoothed as if seen once more than it was. Without samples a model is uniform in both
+    steps, so that two untrained models find nothing.
     """
+    of_kind = np.eye(5)[_CLASS]
 
     def logs(counts: np.ndarray) -> np.ndarray:
-        smooth = counts.reshape(_STATES, _STATES) + 1.0
-        return np.log(smooth / smooth.sum(axis=1, keepdims=True)).ravel()
+        pair = counts.reshape(2, _STATES, _STATES)
+        kinds = of_kind.T @ pair[1] @ of_kind + 1.0
+        kinds = np.log(kinds / kinds.sum(axis=1, keepdims=True))
+        smooth = pair.sum(axis=0) + 1.0
+        inside = np.log(smooth / (smooth @ of_kind)[:, _CLASS])
+        return (kinds[_CLASS][:, _CLASS] + inside).ravel()
 
     return Models(logs(random) - logs(ordinary), log_odds)
 
@@ -104,11 +141,11 @@ def fit(random: np.ndarray, ordinary: np.ndarray, log_odds: float = LOG_ODDS) ->
 def labelled_runs(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> DataFrame:
     """(random, run): labelled samples from a bounded sample of documents, equal texts taken once.
 
-    Values of base spans are random; words of five characters and more without a digit are ordinary.
+    Values of base spans are random. Ordinary are words, numbers and runs made of both, of five
+    characters and more, that no base span touches; a run that looks random has no label.
     """
 
     def step(batches: Batches) -> Batches:
-        word = re.compile(r"[A-Za-z_-]{5,}")
         for batch in batches:
             for run in runs(batch, "text"):
                 labels, values = [], []
@@ -116,7 +153,7 @@ def labelled_runs(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> DataF
                     taken = base_spans(text)
                     values += [x.value for x in taken]
                     labels += [True] * len(taken)
-                    plain = [m[0] for m in word.finditer(text) if all(m.end() <= t.start or t.end <= m.start() for t in taken)]
+                    plain = ordinary_samples(text, taken)
                     values += plain
                     labels += [False] * len(plain)
                 yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(values, pa.string())], names=["random", "run"])
@@ -132,24 +169,25 @@ def train(samples: DataFrame, log_odds: float = LOG_ODDS) -> Models:
     """Fit the models to labelled samples (random, run); only counts of character pairs are gathered."""
 
     def step(batches: Batches) -> Batches:
-        counts = np.zeros((2, _STATES * _STATES), dtype=np.int64)
+        counts = np.zeros((4, _STATES * _STATES), dtype=np.int64)
         for batch in batches:
-            for label in (False, True):
-                own = pc.fill_null(pc.equal(batch.column("random"), label), False)
-                joined = "\n".join(x for x in batch.column("run").filter(own).to_pylist() if x)
+            digits = pc.match_substring_regex(batch.column("run"), "[0-9]")
+            for label, digit in ((False, False), (False, True), (True, False), (True, True)):
+                own = pc.and_(pc.equal(batch.column("random"), label), pc.equal(digits, digit))
+                joined = "\n".join(x for x in batch.column("run").filter(pc.fill_null(own, False)).to_pylist() if x)
                 codes = np.frombuffer(joined.encode("ascii", "replace"), dtype=np.uint8)
                 at = _PLACE[np.minimum(codes, 127)]  # the line end is no known character: a start state
                 seen = np.concatenate(([len(ALPHABET)], at[:-1])) * _STATES + at
-                counts[int(label)] += np.bincount(seen[codes != 10], minlength=_STATES * _STATES)
-        label, pair = np.nonzero(counts)
-        columns = [pa.array(label.astype(bool)), pa.array(pair), pa.array(counts[label, pair])]
-        yield pa.RecordBatch.from_arrays(columns, names=["random", "pair", "n"])
-
-    counted = samples.select("random", "run").mapInArrow(step, "random boolean, pair long, n long")
-    counts = np.zeros((2, _STATES * _STATES))
-    for row in counted.groupBy("random", "pair").agg(F.sum("n").alias("n")).collect():
-        counts[int(row.random), row.pair] = row.n
-    return fit(counts[1], counts[0], log_odds)
+                counts[2 * label + digit] += np.bincount(seen[codes != 10], minlength=_STATES * _STATES)
+        of, pair = np.nonzero(counts)
+        columns = [pa.array(of), pa.array(pair), pa.array(counts[of, pair])]
+        yield pa.RecordBatch.from_arrays(columns, names=["of", "pair", "n"])
+
+    counted = samples.select("random", "run").mapInArrow(step, "of long, pair long, n long")
+    counts = np.zeros((4, _STATES * _STATES))
+    for row in counted.groupBy("of", "pair").agg(F.sum("n").alias("n")).collect():
+        counts[row.of, row.pair] = row.n
+    return fit(counts[2:], counts[:2], log_odds)
 
 
 def scan(text: str, models: Models) -> list[tuple[str, int, int, float]]:

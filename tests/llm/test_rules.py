@@ -124,6 +124,30 @@ def test_the_models_tell_held_out_samples_apart(spark):
     assert secret_scan.redact(text, spans) == f"see [markov], {ordinary[0]}_2b_{ordinary[1]} and [assign]"
 
 
+IDENTIFIERS = """get_user_name_v1 covid-19-vaccine-2021 chapter-10-section-12 ORDER-2023-0001234 ISBN9783161484100
+20240115T093000Z 2024-01-15T09-30-00 getUserNameByNumber2 /2021/03/14/how-to-bake-bread release-notes-v2-10-3""".split()
+
+
+def test_models_of_a_corpus_leave_dates_and_versions_and_find_random_strings(spark):
+    rnd = random.Random(5)
+    common = "the weather of this summer was quite warm and letters about gardens arrived after another".split()
+    secret = ["".join(rnd.choices(string.ascii_letters + string.digits, k=32)) for _ in range(40)]
+    rows = []
+    for k in range(400):
+        w = rnd.choices(common, k=60)
+        if k % 10 == 0:
+            w += [f"password={secret[k // 10]}", "see", "".join(rnd.choices(string.ascii_letters + string.digits, k=32))]
+        elif k % 10 < 4:
+            w += [f"2023-0{rnd.randint(1, 9)}-1{rnd.randint(0, 9)}", IDENTIFIERS[k // 10 % len(IDENTIFIERS)], f"chapter-{k}"]
+        rows.append((k, " ".join(w), "en"))
+    docs = odd.documents(spark, rows)
+    found = find_secrets(docs, train(labelled_runs(docs))).select("doc_id", "secrets.kind").collect()
+    assert {r.doc_id: r.kind for r in found if r.kind} == {k: ["assign", "markov"] for k in range(0, 400, 10)}
+    fitted = train(labelled_runs(docs))
+    assert [x for x in IDENTIFIERS if fitted.score(x) > fitted.log_odds] == []
+    assert not any(secret_scan.words_and_numbers(x) for x in secret)
+
+
 def test_untrained_models_find_base_spans_only(spark):
     empty = train(spark.createDataFrame([], "random boolean, run string"))
     assert [s[0] for s in scan("x " + "aB3" * 10 + " " + "0a" * 12, empty)] == ["hex"]
