@@ -158,10 +158,12 @@ def labelled_runs(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> DataF
                     labels += [False] * len(plain)
                 yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(values, pa.string())], names=["random", "run"])
 
-    hashed = docs.select(text_of().alias("text"), F.xxhash64("text").alias("h"))
-    sample = docs.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(documents)
+    # At or below the cut are few texts, in any number of copies: one row of each hash stays.
+    hashed = docs.select(text_of().alias("text")).withColumn("h", F.xxhash64("text"))
+    sample = hashed.select("h").distinct().orderBy("h").limit(documents)
     least = sample.agg(F.max("h").alias("most")).first().most
     few = hashed.where(F.col("h") <= F.lit(least)) if least is not None else hashed.limit(0)
+    few = few.groupBy("h").agg(F.min("text").alias("text")).select("text")
     return few.mapInArrow(step, "random boolean, run string")
 
 

@@ -148,6 +148,17 @@ def test_models_of_a_corpus_leave_dates_and_versions_and_find_random_strings(spa
     assert not any(secret_scan.words_and_numbers(x) for x in secret)
 
 
+def test_copies_of_a_document_leave_the_models_unchanged(spark):
+    rows = [(k, f"page {k} of chapter-{k} says password={k:08x}ab", "en") for k in range(30)]
+    once, again = (odd.documents(spark, x) for x in (rows, rows + rows[:1] * 40 + [(99, None, "en"), (100, "", "en")]))
+    for documents in (10, 5_000):
+        samples = [Counter(map(tuple, labelled_runs(x, documents).collect())) for x in (once, again)]
+        if documents > 30:
+            assert samples[0] == samples[1] and len(samples[0]) == 60
+            assert (train(labelled_runs(once)).ratio == train(labelled_runs(again)).ratio).all()
+        assert all(sum(n for (random, _), n in x.items() if random) <= documents for x in samples)
+
+
 def test_untrained_models_find_base_spans_only(spark):
     empty = train(spark.createDataFrame([], "random boolean, run string"))
     assert [s[0] for s in scan("x " + "aB3" * 10 + " " + "0a" * 12, empty)] == ["hex"]
