@@ -209,14 +209,17 @@ def _search(queries: DataFrame, packed: DataFrame, index: Index, k: int, slack:
                     cells = np.asarray(cells.values)
                     open_[row, np.searchsorted(local, cells[np.isin(cells, local)])] = True
                 some = open_.any(axis=0)[cell]  # entries that any of these queries visits
-                ids, v, cell = ids[some], v[some], cell[some]
+                by_id = np.flatnonzero(some)[np.argsort(ids[some], kind="stable")]
+                ids, v, cell = ids[by_id], v[by_id], cell[by_id]
+                new = np.flatnonzero(np.diff(ids, prepend=ids[:1] - 1))  # where each id's rows start
                 rough = np.where(open_[:, cell], q @ v.T, -np.inf)
                 out: list[tuple] = []
                 for row, query in enumerate(np.asarray(asked.field("query_id"))):
                     rough[row, ids == query] = -np.inf
                     near = rough[row]
-                    if len(near) > k:
-                        least = np.partition(near, len(near) - k)[len(near) - k]
+                    if len(new) > k:  # the cut counts ids, each by its best row
+                        own = near if len(new) == len(near) else np.maximum.reduceat(near, new)
+                        least = np.partition(own, len(own) - k)[len(own) - k]
                         best = np.flatnonzero(near >= least - 1e-9 * (1 + abs(least)) if np.isfinite(least) else near > -np.inf)
                     else:
                         best = np.flatnonzero(near > -np.inf)

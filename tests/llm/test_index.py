@@ -49,6 +49,23 @@ def test_blocks_split_a_hot_cell(spark, monkeypatch):
     assert [(r.rank, r.vec_id, r.score) for r in found] == [(k + 1, i, 1.0) for k, i in enumerate([0, 1, 2, 3, 4, 6, 7])]
 
 
+def test_an_id_repeated_more_than_k_times_leaves_room_for_others(spark):
+    rng = np.random.default_rng(3)
+    v = np.concatenate([[[1.0, 0, 0, 0]], [[1.0, 0.1, 0, 0]], rng.normal(size=(60, 4)) * 0.1 + [0.8, 0, 0, 0]])
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    # One id 30 times, one with 20 different vectors, and every row twice.
+    many = [*rows, *rows, *[rows[1]] * 30, *((2, [0.9 + j / 1000, 0.0, 0.0, 0.0]) for j in range(20))]
+    df = spark.createDataFrame(many, "vec_id long, embedding array<double>").repartition(3)
+    best = {}
+    for i, x in many:
+        if i:
+            best[i] = max(best.get(i, -9.0), float(np.dot(x, v[0])))
+    want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:7]
+    found = neighbours(df, F.col("vec_id") == 0, 7).orderBy("rank").collect()
+    assert [r.vec_id for r in found] == [i for i, _ in want]
+    assert [r.score for r in found] == pytest.approx([s for _, s in want])
+
+
 def test_odd_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (1, [1.0, nan]), (2, None), (3, [0.0, 0.0]), (4, [inf, 1.0]), (5, [1.0]), (6, [1.0, None])]
