@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sunsieve.sources.shared import landed
+
 #: Rows up to which a side of a join is broadcast; above it the join shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -55,6 +57,21 @@ def maybe_broadcast(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> Dat
     return F.broadcast(df) if rows <= most else df
 
 
+def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """The rows with their place in the order, from 0; ties are settled by no more than the order.
+
+    Rows are cut into ranges and written with their range's number, so that no task holds all of
+    them; a scan over one row per range gives where each begins.
+    """
+    parts = landed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.groupBy("_part").agg(F.count("*").alias("_n"))
+    starts = starts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    placed = parts.withColumn("_within", within).join(F.broadcast(starts), "_part")  # a row per partition
+    return placed.withColumn(name, (F.col("_begin") + F.col("_within") - 1).cast("long")).drop("_part", "_begin", "_within")
+
+
 def open_store(url: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder or file that all executors reach, and the path in it."""
     return fs.FileSystem.from_uri(url)

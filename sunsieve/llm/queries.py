@@ -7,17 +7,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunsieve.llm.archives import planned, read_packages, write_packages
+from sunsieve.llm.bond import hard_negatives
 from sunsieve.llm.byte_bpe import encode_documents
 from sunsieve.llm.common import table
 from sunsieve.llm.divergence import features, judged, references
 from sunsieve.llm.hypergeometric import shuffle_into_shards
+from sunsieve.llm.mixing import mix
 from sunsieve.llm.multi_index import neighbours
 from sunsieve.llm.ngram_join import near_duplicates
 from sunsieve.llm.packing import pack_documents
+from sunsieve.llm.permuterm import spelling_groups
 from sunsieve.llm.perspectives import rotate
 from sunsieve.llm.secret_scan import KINDS, find_secrets, labelled_runs, spelled, train
 from sunsieve.llm.separators import count_tokens
-from sunsieve.llm.sql import archives_sql, divergence_sql, perspectives_sql
+from sunsieve.llm.sql import archives_sql, divergence_sql, negatives_sql, perspectives_sql
 from sunsieve.llm.tokenizer import vocabulary
 from sunsieve.sources.shared import landed, shared_folder
 
@@ -115,6 +118,20 @@ def op10_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op12_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op13_permuterm_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_groups(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_separator_scan": op1_separator_scan,
@@ -127,6 +144,9 @@ def queries() -> dict[str, Query]:
         "op8_hierarchical_packing": op8_hierarchical_packing,
         "op9_ngram_join": op9_ngram_join,
         "op10_distribution_divergence": op10_distribution_divergence,
+        "op11_bond_negatives": op11_bond_negatives,
+        "op12_entropy_mixing": op12_entropy_mixing,
+        "op13_permuterm_spellings": op13_permuterm_spellings,
     }
 
 
@@ -135,4 +155,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_perspective_rotation": perspectives_sql(),
         "op5_zip_archives": archives_sql(),
         "op10_distribution_divergence": divergence_sql(),
+        "op11_bond_negatives": negatives_sql(),
     }
