@@ -2,6 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,12 +47,37 @@ def removed(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
+#: What is landed at the moment is noted in the last of these lists; what is to be kept, in the one before.
+_landings: ContextVar[tuple[list[str], ...]] = ContextVar("landings", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Paths landed inside; those that the list holds at the end are removed.
+
+    What is landed to be kept falls to the surrounding `scratch`, if there is one. Frames that
+    still read what is removed must be written before the end.
+    """
+    mine: list[str] = []
+    outer = _landings.set((*_landings.get(), mine))
+    try:
+        yield mine
+    finally:
+        _landings.reset(outer)
+        for path in mine:
+            removed(spark, path)
+
+
+def landed(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """The frame, written once to the shared folder and read from there.
 
     Later passes then read columns of Parquet, whatever the frame came from, and a
-    lost executor costs a re-read, not the work before.
+    lost executor costs a re-read, not the work before. Inside `scratch` it is removed
+    at the end unless it is to be kept.
     """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
+    noted = _landings.get()[:-1] if keep else _landings.get()
+    if noted:
+        noted[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
