@@ -18,6 +18,8 @@ import regex
 
 #: Entries that a table of known words keeps, and one of known parts of words, so that a worker's memory is bounded.
 KNOWN, KNOWN_PARTS = 200_000, 100_000
+#: Marks, a byte each, of pieces that were met once.
+MARKED = 1 << 22
 #: Characters of a text that are looked up at once.
 SPAN = 1 << 20
 
@@ -46,13 +48,15 @@ def spans(text: str, most: int = SPAN) -> list[str]:
 class Known(dict):
     """Pieces already encoded, as bytes of ids; `encode` turns a list of pieces into such bytes.
 
-    The first `most` pieces stay; later ones are kept until the next call only.
+    Most pieces are met once and never again. A piece stays from the second call on that meets it,
+    as a mark at its hash tells, until `most` stay; all others are kept until the next call only.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = KNOWN):
         super().__init__()
         self.encode, self.most = encode, most
         self.passing: dict[str, bytes] = {}
+        self.marks = bytearray(MARKED)
 
     def __missing__(self, piece: str) -> bytes:
         return self.passing[piece]
@@ -65,7 +69,13 @@ class Known(dict):
         new = [x for x in met if x not in self]
         self.passing = dict(zip(new, self.encode(new))) if new else {}
         if len(self) < self.most:
-            self.update(self.passing)
+            marks = self.marks
+            for piece in new:
+                at = hash(piece) & (MARKED - 1)
+                if marks[at]:
+                    self[piece] = self.passing[piece]
+                else:
+                    marks[at] = 1
 
 
 class WordBpe:
@@ -73,6 +83,7 @@ class WordBpe:
 
     Words between white space are independent, and so are a run of letters and the ASCII marks
     behind it. New runs of letters are encoded many at a time and cut at the end-of-word tokens.
+    Special tokens written out in a text become their ids, as the library does by default.
     """
 
     def __init__(self, path: str):
@@ -80,7 +91,6 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.ends = np.zeros(self.model.get_vocab_size(), dtype=bool)
         self.ends[[i for x, i in self.model.get_vocab().items() if x.endswith("</w>")]] = True
         self.letters = Known(self._encode_letters, KNOWN_PARTS)
@@ -91,9 +101,9 @@ class WordBpe:
 
     def _encode_letters(self, runs: list[str]) -> list[bytes]:
         out = []
-        for start in range(0, len(runs), 1000):
-            part = runs[start : start + 1000]
-            ids = np.array(self.model.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+        for start in range(0, len(runs), 200):
+            part = runs[start : start + 200]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 out += [ids[a:b].tobytes() for a, b in zip([0, *cuts[:-1]], cuts)]

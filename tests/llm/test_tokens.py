@@ -24,15 +24,14 @@ def gpt():
 
 @pytest.fixture(scope="module")
 def clip():
-    found = Tokenizer.from_file(WORDS)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(WORDS)
 
 
 def texts(n=400):
     rnd = random.Random(5)
     made = ["".join(rnd.choice(MIXED) for _ in range(rnd.randint(0, 50))) for _ in range(n)]
-    return [*made, "", "  ", "a" * 3000, "it's they'll don't", " x" * 3000, "y\n  z " * 3000]
+    special = "see <|endoftext|> and|<|startoftext|>foo<|endoftext|>, bar<|endoftext|><|ENDOFTEXT|> <|endoftext"
+    return [*made, special, "", "  ", "a" * 3000, "it's they'll don't", " x" * 3000, "y\n  z " * 3000]
 
 
 def test_byte_bpe_is_the_tiktoken_encoding(gpt):
