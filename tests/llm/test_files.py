@@ -1,7 +1,9 @@
 import hashlib
 import io
+import math
 import struct
 import zipfile
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,10 +11,10 @@ import odd
 import pytest
 from pyspark.sql import functions as F
 
-from sunsieve.llm import archives
+from sunsieve.llm import archives, hypergeometric, queries
 from sunsieve.llm.common import open_store
 from sunsieve.llm.hypergeometric import communication_matrix, shard_sizes, shuffle_into_shards
-from sunsieve.sources.shared import shared_folder
+from sunsieve.sources.shared import landed, shared_folder
 
 SAME = "<p>the same page</p>" * 6
 
@@ -113,3 +115,54 @@ def test_every_shard_and_slot_is_equally_likely(spark):
             hits[r.id, r.shard] += 1
     # 25 draws of one in four for each id: six deviations are 13.
     assert np.abs(hits - 25 / 4).max() < 13 and hits.sum() == 1000
+
+
+@pytest.mark.parametrize("good, bad, n", [(60, 90, 50), (5, 400, 37), (1, 3, 2), (300, 2, 299), (10**7, 3 * 10**7, 40)])
+def test_tabulated_draws_follow_the_law(good, bad, n):
+    rng, trials = np.random.default_rng(8), 4000
+    found = Counter(hypergeometric.draw(rng, good, bad, n, numpy_rows=0) for _ in range(trials))
+    total = math.comb(good + bad, n)
+    law = {k: math.comb(good, k) * math.comb(bad, n - k) / total for k in range(max(0, n - bad), min(n, good) + 1)}
+    assert set(found) <= set(law)
+    for k, share in law.items():
+        assert abs(found[k] - trials * share) <= 6 * (trials * share) ** 0.5 + 1
+
+
+def test_draws_from_many_rows_keep_the_shape_of_few():
+    # A few rows of ten billion, one in a thousand good: nearly all draws have none or one.
+    rng = np.random.default_rng(4)
+    found = Counter(hypergeometric.draw(rng, 10**7, 10**10 - 10**7, 100) for _ in range(20_000))
+    for k, share in enumerate((0.904792, 0.090570, 0.004487)):
+        assert abs(found[k] - 20_000 * share) <= 6 * (20_000 * share) ** 0.5
+    many = [hypergeometric.draw(rng, 4 * 10**9, 6 * 10**9, 10**6) for _ in range(2_000)]
+    assert abs(np.mean(many) - 400_000) < 6 * 490 / 2_000**0.5 and abs(np.std(many) / 489.9 - 1) < 0.1
+
+
+def test_rows_keep_their_partition_however_files_are_cut(spark, monkeypatch):
+    seen = []
+
+    def cut_otherwise(df, name, keep=False):
+        found = landed(df, name, keep)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", [1, 7, 2, 5][len(seen) % 4])
+        seen.append(name)
+        return found
+
+    monkeypatch.setattr(hypergeometric, "landed", cut_otherwise)
+    rows = spark.range(500).repartition(6)
+    try:
+        found = shuffle_into_shards(rows, 3, seed=5).collect()
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert sorted(r.id for r in found) == list(range(500)) and len(seen) == 2
+    assert Counter(r.shard for r in found) == {0: 167, 1: 167, 2: 166}
+
+
+def test_query_gives_every_document_its_columns(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    found = queries.op6_hypergeometric_shards(spark, sf).collect()
+    want = Counter((d, len(t.encode()) + 1, zlib.crc32(t.encode()), "rows", None) for d, t in docs)
+    # A null text has no bytes, an empty one none either.
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.law, r.grown_shard) for r in found) == want
+    slots = sorted((r.shard, r.slot) for r in found)
+    assert slots == [(k, i) for k, n in enumerate(shard_sizes(len(docs), 8)) for i in range(n)]
