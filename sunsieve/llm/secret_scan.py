@@ -1,10 +1,11 @@
 """Secrets in texts: fixed patterns, and character Markov models for what no pattern names.
 
 Two models of character pairs, one of random strings and one of ordinary identifiers, score each
-long run of identifier characters; the log-likelihood ratio decides. They are trained from labelled
-samples: what the patterns find in the corpus is random; words, numbers and the runs made of them are
-ordinary. Which kind of character follows which is learnt from samples with digits alone, as only runs
-with digits are scored: next to the many words without one, any digit would look random.
+run of 16 identifier characters and more; the log-likelihood ratio decides. They are trained from
+labelled samples: what the patterns find in the corpus is random; words, numbers and the runs made of
+them are ordinary. Which kind of character follows which is learnt apart from samples with and without
+digits, and a run is scored by its own sort: next to the many words without one, any digit would look
+random.
 """
 
 import re
@@ -30,7 +31,6 @@ KINDS = ("assign", "access", "hex", "markov")
 
 #: Runs that the models score, and the characters they know; any other character is one more.
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-MIXED = re.compile(r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _PLACE = np.full(128, len(ALPHABET), dtype=np.int64)
 _PLACE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
@@ -38,13 +38,15 @@ _STATES = len(ALPHABET) + 1
 #: Kinds of characters: capitals, small letters, digits, marks and the rest, which is also the start.
 _CLASS = np.repeat(np.arange(5), (26, 26, 10, 5, 1))
 
-#: Candidates for ordinary samples, and the words and numbers that those with digits are made of.
-CANDIDATE, DIGIT, WORD = re.compile(r"[A-Za-z0-9+/_=-]{5,}"), re.compile(r"[0-9]"), re.compile(r"[A-Za-z_-]{5,}")
+#: Candidates for ordinary samples, and the words and numbers that they are made of.
+CANDIDATE, DIGIT = re.compile(r"[A-Za-z0-9+/_=-]{5,}"), re.compile(r"[0-9]")
 PART, PIECE = re.compile(r"[A-Za-z0-9]+"), re.compile(r"[0-9]+|[A-Z]?[a-z]+|[A-Z]+")
 LEAST_PIECE = 3
 
 #: Documents whose runs train the models: those with the smallest hashes of the text.
 TRAINING_DOCUMENTS = 5_000
+#: The share at least with which any kind of character follows another.
+RARE = 0.02
 #: How much likelier random must be: a run is rarely a secret.
 LOG_ODDS = float(np.log(1000))
 
@@ -74,8 +76,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 def other_runs(text: str, taken: list[Span]) -> list[Span]:
-    """Long runs of identifier characters, letters and digits among them, that no base span touches."""
-    found = [Span("markov", m.start(), m.end(), m[0]) for m in RUN.finditer(text) if MIXED.search(m[0])]
+    """Long runs of identifier characters, not of marks alone, that no base span touches."""
+    found = [Span("markov", m.start(), m.end(), m[0]) for m in RUN.finditer(text) if PART.search(m[0])]
     return [x for x in found if all(x.end <= t.start or t.end <= x.start for t in taken)]
 
 
@@ -90,14 +92,8 @@ def words_and_numbers(run: str) -> bool:
 
 def ordinary_samples(text: str, taken: list[Span]) -> list[str]:
     """Words, numbers and runs of both that no base span touches; a run that looks random gives none."""
-    out = []
-    for m in CANDIDATE.finditer(text):
-        if not DIGIT.search(m[0]):
-            found = WORD.finditer(text, m.start(), m.end())
-        else:
-            found = [m] if words_and_numbers(m[0]) else []
-        out += [x[0] for x in found if all(x.end() <= t.start or t.end <= x.start() for t in taken)]
-    return out
+    found = (m for m in CANDIDATE.finditer(text) if all(m.end() <= t.start or t.end <= m.start() for t in taken))
+    return [m[0] for m in found if words_and_numbers(m[0])]
 
 
 def pairs(run: str) -> np.ndarray:
@@ -109,31 +105,33 @@ def pairs(run: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Models:
-    """log P(random) - log P(ordinary) of each character pair."""
+    """log P(random) - log P(ordinary) of each character pair, of runs without and of runs with digits."""
 
     ratio: np.ndarray
     log_odds: float = LOG_ODDS
 
     def score(self, run: str) -> float:
-        return float(self.ratio[pairs(run)].sum())
+        return float(self.ratio[1 if DIGIT.search(run) else 0, pairs(run)].sum())
 
 
 def fit(random: np.ndarray, ordinary: np.ndarray, log_odds: float = LOG_ODDS) -> Models:
     """Models from counts of character pairs in labelled samples: of those without and of those with digits.
 
-    P(next) is P(its kind), from the samples with digits, times P(next, given its kind), from all;
-    each is smoothed as if seen once more than it was. Without samples a model is uniform in both
+    P(next) is P(its kind), from the samples of one sort, times P(next, given its kind), from all;
+    each is smoothed as if seen once more than it was, and no kind is rarer behind another than
+    `RARE`, as the corpus may lack what is ordinary elsewhere. Without samples a model is uniform in both
     steps, so that two untrained models find nothing.
     """
     of_kind = np.eye(5)[_CLASS]
 
     def logs(counts: np.ndarray) -> np.ndarray:
         pair = counts.reshape(2, _STATES, _STATES)
-        kinds = of_kind.T @ pair[1] @ of_kind + 1.0
-        kinds = np.log(kinds / kinds.sum(axis=1, keepdims=True))
         smooth = pair.sum(axis=0) + 1.0
         inside = np.log(smooth / (smooth @ of_kind)[:, _CLASS])
-        return (kinds[_CLASS][:, _CLASS] + inside).ravel()
+        kinds = of_kind.T @ pair @ of_kind
+        kinds = kinds + RARE * kinds.sum(axis=2, keepdims=True) + 1.0
+        kinds = np.log(kinds / kinds.sum(axis=2, keepdims=True))
+        return (kinds[:, _CLASS][:, :, _CLASS] + inside).reshape(2, -1)
 
     return Models(logs(random) - logs(ordinary), log_odds)
 

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -8,7 +9,7 @@ import odd
 import pytest
 from pyspark.sql import functions as F
 
-from sunsieve.llm import divergence, perspectives, secret_scan
+from sunsieve.llm import divergence, perspectives, queries, secret_scan
 from sunsieve.llm.secret_scan import find_secrets, labelled_runs, scan, spelled, train
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -209,3 +210,88 @@ def test_every_participant_is_the_assistant_once(spark):
     trained = [text[r.mask_start : r.mask_end] for r in one if r.mask_end > r.mask_start]
     assert trained == [f"turn {t}<|im_end|>" for t in range(0, 2 * perspectives.SPAN + 9, 2)]
     assert "Python" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+CONTRACT = {
+    "assign": re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+
+
+def contract_spans(text):
+    """Base spans as the contract words them."""
+    least = {"assign": 6, "access": 20, "hex": 24}
+    found = []
+    for place, (kind, pattern) in enumerate(CONTRACT.items()):
+        for m in pattern.finditer(text):
+            value = m[2] if kind == "assign" else m[0]
+            if len(value) >= least[kind]:
+                found.append((m.start(), place, kind, m.end(), value))
+    return sorted(found)
+
+
+def kind_of(c):
+    return "A" if c in string.ascii_uppercase else "a" if c in string.ascii_lowercase else "0" if c.isdigit() else "+" if c in "+/_=-" else "^"
+
+
+class PlainModel:
+    """A character model in dictionaries: kind of the next character by the run's sort, then the character itself."""
+
+    def __init__(self, samples):
+        self.kinds, self.pairs = Counter(), Counter()
+        for run in samples:
+            sort = bool(re.search("[0-9]", run))
+            for a, b in zip("^" + run, run):
+                self.kinds[sort, kind_of(a), kind_of(b)] += 1
+                self.pairs[a, b] += 1
+
+    def log(self, run):
+        sort, out = bool(re.search("[0-9]", run)), 0.0
+        for a, b in zip("^" + run, run):
+            row = sum(self.kinds[sort, kind_of(a), k] for k in "Aa0+^")
+            kind = self.kinds[sort, kind_of(a), kind_of(b)] + secret_scan.RARE * row + 1
+            same = [c for c in secret_scan.ALPHABET if kind_of(c) == kind_of(b)]
+            inside = (self.pairs[a, b] + 1) / sum(self.pairs[a, c] + 1 for c in same)
+            out += math.log(kind / (row + 5 * secret_scan.RARE * row + 5)) + math.log(inside)
+        return out
+
+
+def test_query_is_what_plain_python_finds(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    random_, ordinary = [], []
+    for text in {t for _, t in docs}:
+        taken = contract_spans(text)
+        random_ += [x[4] for x in taken]
+        for m in re.finditer("[A-Za-z0-9+/_=-]{5,}", text):
+            if all(m.end() <= x[0] or x[3] <= m.start() for x in taken) and secret_scan.words_and_numbers(m[0]):
+                ordinary.append(m[0])
+    # Dots of values are no known characters: a start.
+    random_ = [x.replace(".", "^") for x in random_]
+    one, other = PlainModel(random_), PlainModel(ordinary)
+    want = Counter()
+    for doc_id, text in docs:
+        base = contract_spans(text)
+        spans = [x[:4] for x in base]
+        for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text):
+            free = all(m.end() <= x[0] or x[3] <= m.start() for x in base)
+            if free and re.search("[A-Za-z0-9]", m[0]) and one.log(m[0]) - other.log(m[0]) > math.log(1000):
+                spans.append((m.start(), 3, "markov", m.end()))
+        spelt = [",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(x)) for x in ([x[:4] for x in base], spans)]
+        counts = tuple(sum(x[2] == k for x in base) for k in CONTRACT)
+        want[(doc_id, *counts, hashlib.sha256(spelt[0].encode()).hexdigest(), spelt[1])] += 1
+    found = queries.op4_markov_secrets(spark, sf)
+    found = found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    assert Counter(map(tuple, found.collect())) == want
+
+
+def test_the_ratio_decides_on_runs_of_letters_too(spark):
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice(x) for x in ("bdgklmnprst", "aeiou") * rnd.randint(2, 4)) for _ in range(300)]
+    text = " ".join(rnd.choice(words) for _ in range(3000)) + " ".join(f" token={''.join(rnd.choices(string.ascii_letters + string.digits, k=32))}" for _ in range(60))
+    models = train(labelled_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")))
+    letters = ["".join(rnd.choices(string.ascii_letters, k=32)) for _ in range(100)]
+    assert sum(len(scan(x, models)) for x in letters) >= 80  # no sample of letters alone is random here
+    assert sum(len(scan("".join(rnd.choices(words, k=5)), models)) for _ in range(200)) == 0
+    assert scan("-" * 40 + " " + "=" * 30 + " " + "_" * 16, models) == []
