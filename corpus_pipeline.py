@@ -10,7 +10,7 @@ from sunsieve.llm.packing import pack_documents
 from sunsieve.llm.queries import WORD_VOCABULARY
 from sunsieve.llm.secret_scan import find_secrets, labelled_runs, train
 from sunsieve.llm.tokenizer import vocabulary
-from sunsieve.sources.shared import landed
+from sunsieve.sources.shared import landed, scratch
 
 
 def _free_name(df: DataFrame, name: str) -> str:
@@ -21,7 +21,11 @@ def _free_name(df: DataFrame, name: str) -> str:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither fail the base rules nor lie far from their language stay as they are."""
+    """Documents that neither fail the base rules nor lie far from their language stay as they are.
+
+    A null text has no words and goes; repeated rows stay or go together; an empty table stays
+    empty, and columns of any other name are handed on.
+    """
     known = references(landed(features(docs, ["doc_id"]), "counted"))
     return judged(features(docs), known).where("kept").select("row.*")
 
@@ -29,24 +33,30 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays, once.
 
-    Rows are told apart by their place in the files, so that null and repeated ids do no harm;
-    `docs` must therefore be read from files.
+    Rows are named by a place that is written with them, so that null and repeated ids do no harm
+    and every pass names them alike, however Spark cuts the files. Null and empty texts are nobody's
+    duplicates, an empty table stays empty, and columns of any other name are handed on.
     """
     workers_find_us(spark)
     at = _free_name(docs, "at")
-    placed = docs.withColumn(at, F.monotonically_increasing_id())
-    found = near_duplicates(placed.select(F.col(at).alias("doc_id"), "text"))
-    ids = placed.select(F.col(at).alias("at"), F.col("doc_id").cast("long").alias("doc_id"))
-    found = found.select(F.col("doc_id").alias("at"), F.col("component_id").alias("component")).join(ids, "at")
-    found = landed(found, "classes")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at"))["at"]
-    stays = found.groupBy("component").agg(first.alias("stays")).where("component IS NOT NULL")
-    goes = landed(found.join(stays, "component").where("at <> stays").select(F.col("at").alias(at)), "goes")
-    return placed.join(maybe_broadcast(goes, goes.count()), at, "left_anti").select(docs.columns)
+    with scratch(spark):
+        placed = landed(docs.withColumn(at, F.monotonically_increasing_id()), "placed", keep=True)
+        found = near_duplicates(placed.select(F.col(at).alias("doc_id"), "text"))
+        ids = placed.select(F.col(at).alias("at"), F.col("doc_id").cast("long").alias("doc_id"))
+        found = found.select(F.col("doc_id").alias("at"), F.col("component_id").alias("component")).join(ids, "at")
+        found = landed(found, "classes")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at"))["at"]
+        stays = found.groupBy("component").agg(first.alias("stays")).where("component IS NOT NULL")
+        goes = landed(found.join(stays, "component").where("at <> stays").select(F.col("at").alias(at)), "goes", keep=True)
+        return placed.join(maybe_broadcast(goes, goes.count()), at, "left_anti").select(docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; in their texts each secret is replaced by its kind, and n_chars follows."""
+    """All documents stay; in their texts each secret is replaced by its kind, and n_chars follows.
+
+    Null texts stay null and empty ones empty, repeated rows are treated alike, an empty table
+    stays empty, and columns of any other name are handed on.
+    """
     workers_find_us(spark)
     found = find_secrets(docs, train(labelled_runs(docs)))
     text, n_chars = F.col("redacted"), F.col("n_chars")
@@ -55,7 +65,11 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of several lengths, a row per piece of a document."""
+    """Token sequences of several lengths, a row per piece of a document.
+
+    A null or empty text is one end token, repeated rows are packed each for themselves, an empty
+    table gives no rows, and columns other than doc_id and text are not read.
+    """
     workers_find_us(spark)
     return pack_documents(docs, vocabulary(WORD_VOCABULARY))
 
@@ -72,10 +86,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each is written to the shared folder and read again by the next."""
+    """All stages over `documents`; each is written to the shared folder and read again by the next.
+
+    What was written is removed when it has been read, but for what the last stage reads.
+    """
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = landed(docs, name.replace(" ", "-"))
-    return docs
+    with scratch(spark) as written:
+        for name, stage in STAGES[:-1]:
+            docs = landed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        written.pop()
+    return STAGES[-1][1](spark, docs, sf_dir)
