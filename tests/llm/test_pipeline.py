@@ -9,9 +9,11 @@ from test_rules import made_documents, plain_counts
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from sunsieve.llm import ngram_join
 from sunsieve.llm.divergence import features, judged, references
 from sunsieve.llm.secret_scan import labelled_runs, redact, scan, train
 from sunsieve.llm.tokenizer import packed, vocabulary
+from sunsieve.sources import shared
 from sunsieve.sources.shared import landed
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -83,3 +85,33 @@ def test_no_documents(spark):
     none = landed(odd.documents(spark, []), "documents")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, "").isEmpty(), name
+
+
+def test_no_text_is_lost_when_files_are_cut_otherwise_between_passes(spark, monkeypatch, tmp_path):
+    texts = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(600)]
+    rows = [(k, texts[k % 600], "en") for k in range(1200)]
+    odd.documents(spark, rows).repartition(9).write.parquet(str(tmp_path / "docs"))
+    turns = iter(range(10**6))
+
+    def cut_otherwise(df, name, keep=False):
+        found = landed(df, name, keep)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", [1, 16, 3, 7][next(turns) % 4])
+        return found
+
+    for module in (corpus_pipeline, ngram_join):
+        monkeypatch.setattr(module, "landed", cut_otherwise)
+    try:
+        found = corpus_pipeline.near_duplicate_groups(spark, spark.read.parquet(str(tmp_path / "docs")), "")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 11)
+        left = Counter(r.text for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert left == Counter(texts)
+
+
+def test_run_leaves_only_what_the_last_stage_reads(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(shared, "shared_folder", lambda spark, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}-x"))
+    found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert found.count() > 0
+    left = {p.name.rsplit("-", 2)[0] for p in tmp_path.iterdir()}
+    assert "secret-scans" in left and not left & {"quality-rules", "n-gram-Jaccard-join", "placed", "goes", "shingled", "shared"}
