@@ -15,9 +15,11 @@ from sunsieve.functions.solar import is_night, solar_elevation
 from sunsieve.functions.values import blank_tokens
 from sunsieve.operators import checks
 from sunsieve.operators.align import align_join, enforce_schema, on_grid, union_all, with_deltas
+from sunsieve.operators.clearsky import impute_irradiance
 from sunsieve.operators.hampel import hampel, rolling_mad, rolling_median
 from sunsieve.operators.impute import backward_fill, forward_fill, impute, interpolate
 from sunsieve.operators.night import zero_at_night
+from sunsieve.operators.spline import impute_spline
 from sunsieve.plans import metrics
 from sunsieve.plans.clean import clean, stage_metrics
 from sunsieve.plans.refresh import Refreshed, refresh
@@ -182,6 +184,15 @@ def hampel_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hampel(series_by_supplier(spark, sf_dir), ["power", "nwp_windspeed"], chunk_days=DAILY_CHUNK)
 
 
+def irradiance_by_sky(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = impute_irradiance(readings(spark, sf_dir).select(STATION, TIME, *IRRADIANCE))
+    return found.withColumns({c: F.round(c, 6) for c in IRRADIANCE})
+
+
+def splined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impute_spline(readings(spark, sf_dir).select(STATION, TIME, "power", *IRRADIANCE), ["power", *IRRADIANCE])
+
+
 def load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = F.concat(F.lit("gold/"), F.col("o_orderkey").cast("string"), F.lit(".parquet"))
     found = tables.load_id(uri, F.lit("p"), F.lit("d"), F.col("o_orderpriority"), F.md5("o_orderstatus"))
@@ -464,6 +475,8 @@ def queries() -> dict[str, Query]:
         "interpolate": _on_readings(interpolate),
         "impute": _on_readings(impute),
         "impute_many_series": impute_many,
+        "impute_irradiance": irradiance_by_sky,
+        "impute_spline": splined,
         "clean_series": _on_readings(lambda df: clean(with_deltas(df))),
         "clean_fresh_deltas": _on_readings(lambda df: clean(with_deltas(df), recompute_deltas=True)),
         "clean_metrics": _on_readings(stage_metrics),

@@ -5,7 +5,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sunsieve.schema import DECLINATION, LATITUDE
+from sunsieve.schema import CLEAR_SKY, CLEAR_SKY_LOSS, DECLINATION, LATITUDE
 
 
 def solar_elevation(time: Column, latitude: float = LATITUDE) -> Column:
@@ -25,3 +25,9 @@ def solar_elevation(time: Column, latitude: float = LATITUDE) -> Column:
 def is_night(time: Column, latitude: float = LATITUDE) -> Column:
     """True at or below the horizon, null where the time is null."""
     return solar_elevation(time, latitude) <= 0.0
+
+
+def clear_sky(time: Column, latitude: float = LATITUDE) -> Column:
+    """Irradiance of a clear sky in W/m² after Haurwitz: 0 at or below the horizon, null where the time is null."""
+    height = F.sin(solar_elevation(time, latitude))
+    return F.when(height > 0, F.lit(CLEAR_SKY) * height * F.exp(-F.lit(CLEAR_SKY_LOSS) / height)).when(height <= 0, F.lit(0.0))

@@ -101,6 +101,24 @@ def _fill(name: str, source: str, columns: list[str], measures, how: str) -> lis
     ]
 
 
+def _by_sky() -> str:
+    """Gaps of irradiance filled along the clear-sky index of the rows of daylight."""
+    shares = ", ".join(f"{c} / sky AS {c}" for c in IRRADIANCE)
+    near = _fill("filled", "share", ["station_id", "date_time", "sky", *IRRADIANCE], IRRADIANCE, "impute")
+    given = ", ".join(
+        f"round(coalesce(r.{c}, CASE WHEN f.sky IS NULL THEN 0.0::DOUBLE ELSE least(f.{c} * f.sky, 1361.0::DOUBLE) END), 6) AS {c}"
+        for c in IRRADIANCE
+    )
+    return _with(
+        READINGS,
+        f"high AS (SELECT *, sin({_elevation('date_time')}) AS height FROM readings)",
+        "lit AS (SELECT *, CASE WHEN height > 0 THEN 1098.0::DOUBLE * height * exp(-0.059::DOUBLE / height) ELSE 0.0::DOUBLE END AS sky FROM high)",
+        f"share AS (SELECT station_id, date_time, sky, {shares} FROM lit WHERE sky >= 1.0)",
+        *near,
+        last=f"SELECT r.station_id, r.date_time, {given} FROM readings r LEFT JOIN filled f USING (station_id, date_time)",
+    )
+
+
 def _delta_list() -> str:
     return ", ".join(f"{nwp} - {lmd} AS {name}" for name, (nwp, lmd) in DELTAS.items())
 
@@ -333,6 +351,7 @@ def oracle_sql() -> dict[str, str]:
             *_fill("filled", "suppliers", many, ["power", "nwp_windspeed"], "impute"),
             last="SELECT * FROM filled",
         ),
+        "impute_irradiance": _by_sky(),
         "clean_series": clean,
         "clean_fresh_deltas": _with(
             READINGS,

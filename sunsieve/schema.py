@@ -47,6 +47,9 @@ HAMPEL_FACTOR = 1.4826
 MAD_FLOOR = 1e-10
 LATITUDE = 38.0
 DECLINATION = 23.45
+# Haurwitz's clear sky, and the irradiance from which it is taken for daylight.
+CLEAR_SKY, CLEAR_SKY_LOSS = 1098.0, 0.059
+LEAST_CLEAR_SKY = 1.0
 NULL_TOKENS = ("", "NA", "null", "NaN")
 STATION_ID_MAX = 255
 COMPRESSION = "zstd"
