@@ -7,7 +7,7 @@ rows of daylight, and the clear sky gives the value back.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunsieve.functions.solar import clear_sky
@@ -36,7 +36,12 @@ def impute_irradiance(
     # Rows at night take no part: they neither have an index nor count as positions.
     index = {f"_index_{c}": F.col(c) / F.col(sky) for c in columns}
     day = impute(rows.where(F.col(sky) >= least).withColumns(index), list(index))
-    given = {c: F.coalesce(c, F.least(F.col(f"_index_{c}") * F.col(sky), F.lit(SOLAR_CONSTANT))) for c in columns}
+
+    def value(c: str) -> Column:
+        found = F.col(f"_index_{c}") * F.col(sky)  # null without an index, which `least` would pass over
+        return F.coalesce(c, F.when(found > SOLAR_CONSTANT, F.lit(SOLAR_CONSTANT)).otherwise(found))
+
+    given = {c: value(c) for c in columns}
     day = day.withColumns(given).select(df.columns)
     night = rows.where(F.coalesce(F.col(sky) < least, F.lit(True)))
     dark = {c: F.when(F.col(sky).isNotNull(), F.coalesce(c, F.lit(0.0))).otherwise(F.col(c)) for c in columns}

@@ -106,7 +106,7 @@ def _by_sky() -> str:
     shares = ", ".join(f"{c} / sky AS {c}" for c in IRRADIANCE)
     near = _fill("filled", "share", ["station_id", "date_time", "sky", *IRRADIANCE], IRRADIANCE, "impute")
     given = ", ".join(
-        f"round(coalesce(r.{c}, CASE WHEN f.sky IS NULL THEN 0.0::DOUBLE ELSE least(f.{c} * f.sky, 1361.0::DOUBLE) END), 6) AS {c}"
+        f"round(coalesce(r.{c}, CASE WHEN f.sky IS NULL THEN 0.0::DOUBLE WHEN f.{c} * f.sky > 1361.0 THEN 1361.0::DOUBLE ELSE f.{c} * f.sky END), 6) AS {c}"
         for c in IRRADIANCE
     )
     return _with(
