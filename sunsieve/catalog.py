@@ -385,12 +385,26 @@ def refresh_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir).metrics.withColumn("wrote", F.col("bytes_written") > 0).drop("bytes_written")
 
 
+def _long_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with a hole of sixty days, nulls across it, and a row without a time for each station."""
+    rows = readings(spark, sf_dir)
+    late, gap = F.col(TIME) >= tables.moment("2024-01-16"), F.col(TIME).between(tables.moment("2024-01-05"), tables.moment("2024-01-25"))
+    timeless = rows.groupBy(STATION).agg(F.lit(None).cast("timestamp_ntz").alias(TIME), *(F.max(c).alias(c) for c in MEASURES))
+    rows = rows.withColumns(
+        {
+            TIME: F.when(late, F.expr(f"{TIME} + make_dt_interval(60)")).otherwise(F.col(TIME)),
+            "lmd_temperature": F.when(~gap, F.col("lmd_temperature")),
+        }
+    )
+    return with_deltas(rows.unionByName(timeless))
+
+
 def arrivals_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings that arrive in three batches out of order, the days of each cleaned again: as if all came at once."""
+    """Readings that arrive in three batches out of order, cleaned again where they reach: as if all came at once."""
     raw, cleaned = shared_folder(spark, "raw"), shared_folder(spark, "cleaned")
-    rows = with_deltas(readings(spark, sf_dir))
+    rows = _long_readings(spark, sf_dir)
     for part in (1, 0, 2):
-        batch = rows.where(F.pmod(F.unix_date(F.col(TIME).cast("date")), F.lit(3)) == part)
+        batch = rows.where(F.pmod(F.coalesce(F.unix_date(F.col(TIME).cast("date")), F.lit(0)), F.lit(3)) == part)
         tables.append_new(tables.one_per_key(batch), raw)
         reclean(raw, cleaned, batch.select(F.col(TIME).cast("date").alias("day")))
     return spark.read.parquet(cleaned).drop(tables.DAY)

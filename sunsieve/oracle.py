@@ -6,7 +6,8 @@ from sunsieve.schema import DELTAS, FINAL_TYPES, IRRADIANCE, MEASURES, NIGHT_ZER
 _CELL = "time_bucket(INTERVAL 15 MINUTE, ts)"
 _STATION = "CAST(user_id % 10 AS SMALLINT)"
 _ALL = ["station_id", "date_time", *MEASURES]
-_ORDERED = "PARTITION BY station_id ORDER BY date_time"
+_ORDERED = "PARTITION BY station_id ORDER BY date_time NULLS FIRST"
+_BACKWARDS = "PARTITION BY station_id ORDER BY date_time DESC NULLS LAST"
 
 READINGS = (
     f"readings AS (SELECT {_STATION} AS station_id, {_CELL} AS date_time, "
@@ -74,7 +75,7 @@ def _hampel(name: str, source: str, columns: list[str], wind=WIND, extra: str =
 
 def _fill(name: str, source: str, columns: list[str], measures, how: str) -> list[str]:
     up = f"{_ORDERED} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    down = f"{_ORDERED} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    down = f"{_BACKWARDS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     near = ", ".join(
         f"last_value({c} IGNORE NULLS) OVER ({up}) AS p_{c}, "
         f"last_value(CASE WHEN {c} IS NOT NULL THEN rn END IGNORE NULLS) OVER ({up}) AS pr_{c}, "
@@ -126,6 +127,13 @@ def _delta_list() -> str:
 _FINAL = f"final AS (SELECT {', '.join(_ALL)}, {_delta_list()} FROM readings)"
 _FINAL_COLUMNS = [*_ALL, *DELTAS]
 
+_LONG = (
+    "long AS (SELECT * REPLACE (CASE WHEN date_time >= TIMESTAMP '2024-01-16' THEN date_time + INTERVAL 60 DAY "
+    "ELSE date_time END AS date_time, CASE WHEN date_time BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25' "
+    "THEN NULL ELSE lmd_temperature END AS lmd_temperature) FROM readings "
+    f"UNION ALL SELECT station_id, NULL, {', '.join(f'max({c})' for c in MEASURES)} FROM readings GROUP BY station_id)"
+)
+
 
 def _clean(source_columns: list[str], source: str) -> list[str]:
     return [
@@ -292,7 +300,13 @@ def oracle_sql() -> dict[str, str]:
             last=_QUALITY,
         ),
         "refresh_metrics": f"SELECT *, true AS wrote FROM ({_stage_metrics()})",
-        "arrivals_cleaned": clean,
+        "arrivals_cleaned": _with(
+            READINGS,
+            _LONG,
+            f"final AS (SELECT {', '.join(_ALL)}, {_delta_list()} FROM long)",
+            *_clean(_FINAL_COLUMNS, "final"),
+            last="SELECT * FROM clean",
+        ),
         "fallback_source": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "consolidate": final,
         "csv_roundtrip": final,

@@ -197,6 +197,11 @@ def overwrite_partitions(rows: DataFrame, table: str, grain: str = DAY) -> None:
     _clustered(rows, grain).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
 
 
+def replace_table(rows: DataFrame, table: str, grain: str = DAY) -> None:
+    """Write the rows in place of all that the table holds."""
+    _clustered(rows, grain).mode("overwrite").option("partitionOverwriteMode", "static").parquet(table)
+
+
 def load_once(
     spark: SparkSession,
     uri: str,

@@ -16,7 +16,8 @@ from sunsieve.plans.clean import STEPS, Step, clean
 from sunsieve.schema import DAY, MEASURES, STATION, TIME, TIME_FORMAT
 from sunsieve.sources.files import aligned, parsed
 from sunsieve.sources.shared import removed, shared_folder
-from sunsieve.sources.tables import append_new, one_per_key, overwrite_partitions
+from sunsieve.sources.tables import append_new, one_per_key, overwrite_partitions, read_table, replace_table
+from sunsieve.streaming.reach import changed_units, day_summaries
 
 HEADER = (TIME, *MEASURES, STATION)
 
@@ -54,27 +55,62 @@ def keep_appending(
     )
 
 
+def _same_unit(left: DataFrame, units: DataFrame, how: str) -> DataFrame:
+    """Join on station and day; null ones equal each other."""
+    named = units.select(F.col(STATION).alias("_station"), F.col(DAY).alias("_day"))
+    return left.join(named, F.col(STATION).eqNullSafe(F.col("_station")) & F.col(DAY).eqNullSafe(F.col("_day")), how)
+
+
+def _on_days(table: DataFrame, units: DataFrame) -> DataFrame:
+    """The table's partitions that the units lie in; their days are named in the filter, so no other is opened."""
+    days = [r[DAY] for r in units.select(DAY).distinct().collect()]  # no more than the table has partitions
+    return table.where(F.col(DAY).isin([d for d in days if d]) | (F.col(DAY).isNull() & F.lit(None in days)))
+
+
+def _kept_summaries(spark: SparkSession, raw: str, touched: DataFrame) -> DataFrame:
+    """One row per station and day of the raw table, kept beside it; those of the touched days are made anew."""
+    path, stored = f"{raw}.days", read_table(spark, raw)
+    known = read_table(spark, path)
+    rows = stored
+    if known is not None:
+        days = touched.select(F.col(DAY).alias("_day"))
+        rows = _on_days(stored, touched).join(days, F.col(DAY).eqNullSafe(F.col("_day")), "left_semi")
+    day_summaries(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    return spark.read.parquet(path)
+
+
 def reclean(
-    raw: str, cleaned: str, days: DataFrame, steps: Sequence[Step] = STEPS, reach_days: int = 32, chunk_days: int = 8
+    raw: str, cleaned: str, days: DataFrame, steps: Sequence[Step] = STEPS, chunk_days: int = 8
 ) -> None:
-    """Clean the touched days again from the table of raw readings into the table of cleaned ones.
+    """Clean again what the touched days can change, from the table of raw readings into the table of cleaned ones.
+
+    `days` holds dates in a column `day`, such as those of a batch; a null stands for rows
+    without a time. Both tables are stored by day. What is rewritten, and what has to be read
+    for it, follows from one summary row per station and day (see `changed_units`), so the
+    cleaned table always equals a cleaning of everything, however long a gap is. Rows of a
+    rewritten day that cannot have changed are taken over as they are.
 
-    `days` holds dates in a column `day`, such as those of a batch. Both tables are stored
-    by day. The windowed steps look `reach_days` to either side for rows near a day and for
-    known values; a gap longer than that is filled from what lies inside the reach. A day's
-    cleaned values can depend on later arrivals, so the days within the reach of a touched one
-    are rewritten too; other partitions stay.
+    Steps of a caller can reach any distance: with such a step among them, and for the first
+    cleaning, everything is cleaned. An interrupted call is repeated.
     """
     spark = days.sparkSession
-    around = F.explode(F.sequence(F.date_sub("day", reach_days), F.date_add("day", reach_days)))
-    touched = days.select(F.col("day").cast("date").alias("day")).distinct()
-    rewritten = touched.select(around.alias(DAY)).distinct()
-    read = rewritten.select(F.explode(F.sequence(F.date_sub(DAY, reach_days), F.date_add(DAY, reach_days))).alias(DAY))
-    rows = spark.read.parquet(raw).join(read.distinct(), DAY, "left_semi").drop(DAY)
+    touched = days.select(F.col(DAY).cast("date").alias(DAY)).distinct()
+    summaries = _kept_summaries(spark, raw, touched)
+    stored, before = read_table(spark, raw), read_table(spark, cleaned)
     aside = shared_folder(spark, "recleaned")
     try:
+        if before is None or not all(getattr(s, "keeps_keys", False) for s in steps):
+            clean(stored.drop(DAY), steps, chunk_days=chunk_days).write.parquet(f"{aside}/rows")
+            replace_table(spark.read.parquet(f"{aside}/rows"), cleaned, DAY)
+            return
+        changed_units(summaries, touched).where("changed OR read").write.parquet(f"{aside}/units")
+        units = spark.read.parquet(f"{aside}/units")
+        changed = units.where("changed")
+        rows = _same_unit(_on_days(stored, units), units, "left_semi").drop(DAY)
         out = clean(rows, steps, chunk_days=chunk_days).withColumn(DAY, F.col(TIME).cast("date"))
-        out.join(rewritten, DAY, "left_semi").drop(DAY).write.parquet(aside)
-        overwrite_partitions(spark.read.parquet(aside), cleaned, DAY)
+        out = _same_unit(out, changed, "left_semi")
+        stays = _same_unit(_on_days(before, changed), changed, "left_anti")
+        out.unionByName(stays.select(out.columns)).drop(DAY).write.parquet(f"{aside}/rows")
+        overwrite_partitions(spark.read.parquet(f"{aside}/rows"), cleaned, DAY)
     finally:
         removed(spark, aside)
