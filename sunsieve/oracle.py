@@ -230,6 +230,44 @@ def _stage_metrics() -> str:
     )
 
 
+def _step_metrics() -> str:
+    """Rows, nulls and changes before and after each step of two lists of steps."""
+    nulls = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in MEASURES)
+    outliers = " + ".join(f"CAST(coalesce({_is_outlier(c)}, false) AS INTEGER)" for c in WIND)
+    dark = f"{_elevation('date_time')} <= 0"
+
+    def of(name: str) -> str:
+        return f"(SELECT CAST(count(*) AS BIGINT) AS n, CAST(coalesce(sum({nulls}), 0) AS BIGINT) AS missing FROM {name})"
+
+    def row(case: str, k: int, step: str, before: str, after: str, changed: str, percent: str) -> str:
+        return (
+            f"SELECT '{case}' AS \"case\", {k} AS position, '{step}' AS step, b.n AS rows_before, a.n AS rows_after, "
+            f"b.missing AS nulls_before, a.missing AS nulls_after, CAST({changed} AS BIGINT) AS changed, "
+            f"CAST({percent} AS DOUBLE) AS changed_percent, true AS wrote FROM {of(before)} b, {of(after)} a"
+        )
+
+    nights = f"(SELECT count(*) FILTER (WHERE {dark}) FROM readings)"
+    share = f"round({nights} / greatest(b.n, 1) * 100, 1)"
+    found = "(SELECT coalesce(sum(outliers), 0) FROM calm)"
+    rows = [
+        row("usual", 1, "zero_at_night", "readings", "night", nights, share),
+        row("usual", 2, "hampel", "night", "calm", found, f"round({found} / greatest(b.n * 2, 1) * 100, 3)"),
+        row("usual", 3, "impute", "calm", "clean", "b.missing - a.missing", "NULL"),
+        row("other", 1, "zero_at_night", "readings", "night", nights, share),
+        row("other", 2, "without_nights", "night", "day", "NULL", "NULL"),
+        row("other", 3, "forward_fill", "day", "filled", "b.missing - a.missing", "NULL"),
+    ]
+    return _with(
+        READINGS,
+        _night("night", "readings", _ALL),
+        *_hampel("calm", "night", _ALL, extra=f", {outliers} AS outliers"),
+        *_fill("clean", "calm", _ALL, MEASURES, "impute"),
+        f"day AS (SELECT * FROM night WHERE NOT ({dark}))",
+        *_fill("filled", "day", _ALL, MEASURES, "ffill"),
+        last=" UNION ALL ".join(rows),
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     start, end = SOME_DAYS
     rolled = [*WIND, "nwp_globalirrad"]
@@ -299,7 +337,7 @@ def oracle_sql() -> dict[str, str]:
             "ELSE date_time END AS date_time) FROM readings)",
             last=_QUALITY,
         ),
-        "refresh_metrics": f"SELECT *, true AS wrote FROM ({_stage_metrics()})",
+        "refresh_metrics": _step_metrics(),
         "arrivals_cleaned": _with(
             READINGS,
             _LONG,

@@ -11,8 +11,8 @@ from sunsieve.operators.hampel import hampel
 from sunsieve.operators.impute import impute
 from sunsieve.operators.night import zero_at_night
 from sunsieve.operators.series import CHUNK, CHUNK_DAYS, KEYS, cut
-from sunsieve.schema import DELTAS, MEASURES, TIME, WIND
 from sunsieve.functions.solar import is_night
+from sunsieve.schema import DELTAS, MEASURES, TIME, WIND
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -23,6 +23,27 @@ def _name(step: Step) -> str:
     return getattr(step, "__name__", type(step).__name__)
 
 
+def _applied(rows: DataFrame, step: Step, run: Step, chunk_days: int) -> DataFrame:
+    """The step's rows; those of this package find the piece keys, a caller's do not."""
+    own = getattr(step, "keeps_keys", False)
+    if own and CHUNK not in rows.columns:
+        rows = cut(rows, chunk_days)
+    elif not own:
+        rows = rows.drop(*KEYS)
+    try:
+        return run(rows)
+    except SieveError:
+        raise
+    except Exception as cause:
+        raise TransformError(f"step {_name(step)} failed: {cause}") from cause
+
+
+def _need_columns(step: Step, found: Sequence[str], wanted: Sequence[str]) -> None:
+    found, wanted = ([c for c in x if c not in KEYS] for x in (found, wanted))
+    if sorted(found) != sorted(wanted):
+        raise TransformError(f"step {_name(step)} changed the columns from {wanted} to {found}")
+
+
 def clean(
     df: DataFrame,
     steps: Sequence[Step] = STEPS,
@@ -40,26 +61,102 @@ def clean(
     names = df.columns
     rows = df
     for step in steps:
-        own = getattr(step, "keeps_keys", False)
-        if own and CHUNK not in rows.columns:
-            rows = cut(rows, chunk_days)
-        elif not own:
-            rows = rows.drop(*KEYS)
         before = rows.columns
-        try:
-            rows = step(rows)
-        except SieveError:
-            raise
-        except Exception as cause:
-            raise TransformError(f"step {_name(step)} failed: {cause}") from cause
-        if sorted(rows.columns) != sorted(before):
-            raise TransformError(f"step {_name(step)} changed the columns from {before} to {rows.columns}")
+        rows = _applied(rows, step, step, chunk_days)
+        _need_columns(step, rows.columns, before)
     rows = rows.select(*names)
     if recompute_deltas and set(DELTAS) <= set(names):
         rows = with_deltas(rows).select(*names)
     return rows
 
 
+def _missing(df: DataFrame) -> Column:
+    """How many measures of the row are null."""
+    return sum((F.col(c).isNull().cast("int") for c in MEASURES if c in df.columns), F.lit(0))
+
+
+def _dark(df: DataFrame, name: str) -> DataFrame:
+    return zero_at_night(df).withColumn(name, F.coalesce(is_night(F.col(TIME)), F.lit(False)).cast("int"))
+
+
+def _outliers(df: DataFrame, name: str) -> DataFrame:
+    rows = hampel(df, flag_prefix=name)
+    found = sum((F.col(name + c).cast("int") for c in WIND), F.lit(0))
+    return rows.withColumn(name, found).drop(*(name + c for c in WIND))
+
+
+#: Steps that tell what they changed: with a column of that, the cells a row has for it, and decimals of the percentage.
+_TELLING = {zero_at_night: (_dark, 1, 1), hampel: (_outliers, len(WIND), 3)}
+
+METRICS = (
+    "position int, step string, rows_before long, rows_after long, nulls_before long, nulls_after long, "
+    "changed long, changed_percent double"
+)
+
+
+def clean_measured(
+    df: DataFrame, land: Callable[[DataFrame], DataFrame], steps: Sequence[Step] = STEPS, chunk_days: int = CHUNK_DAYS
+) -> tuple[DataFrame, DataFrame]:
+    """The cleaned rows, as `land` gives them back, and one row of metrics for each step that ran.
+
+    `land` writes a frame and reads it again (such as `sources.shared.landed`). Steps of this
+    package in a row run as one plan: each leaves on the rows how many nulls it left and what it
+    changed, these columns are written with the rows and summed up from there, so nothing is
+    cleaned twice, and a task that runs again does not count again. A caller's step may add or drop
+    rows; what it gets and gives is written, and counted as written.
+
+    Metrics: rows and nulls of the measures before and after; `changed` are night rows, outliers
+    or, for any other step of this package, nulls resolved, and null for a caller's; the
+    percentages are of rows, and for outliers of wind values.
+    """
+    names, spark = df.columns, df.sparkSession
+    rows, told, k = df, [], 0
+    while k < len(steps):
+        own = getattr(steps[k], "keeps_keys", False)
+        run = 1
+        while own and k + run < len(steps) and getattr(steps[k + run], "keeps_keys", False):
+            run += 1
+        rows, metrics = (_measured_run if own else _measured_step)(rows, land, steps[k : k + run], chunk_days)
+        told += [(k + i + 1, _name(step), *m) for i, (step, m) in enumerate(zip(steps[k : k + run], metrics))]
+        k += run
+    return (rows if steps else land(df)).select(*names), spark.createDataFrame(told, METRICS)
+
+
+def _measured_run(rows: DataFrame, land, steps: Sequence[Step], chunk_days: int) -> tuple[DataFrame, list[tuple]]:
+    names = rows.columns
+    rows = rows.withColumn("_missing_0", _missing(rows))
+    for i, step in enumerate(steps):
+        before, hit = rows.columns, f"_hit_{i + 1}"
+        telling = _TELLING.get(step)
+        rows = _applied(rows, step, (lambda df: telling[0](df, hit)) if telling else step, chunk_days)
+        _need_columns(step, rows.columns, [*before, hit] if telling else before)
+        rows = rows.withColumn(f"_missing_{i + 1}", _missing(rows))
+    rows = land(rows.drop(*KEYS))
+    flags = [c for c in rows.columns if c not in names]
+    sums = rows.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in flags)).first()
+    out = []
+    for i, step in enumerate(steps):
+        had, left = sums[f"_missing_{i}"], sums[f"_missing_{i + 1}"]
+        changed, percent = had - left, None
+        if telling := _TELLING.get(step):
+            _, cells, decimals = telling
+            changed = sums[f"_hit_{i + 1}"]
+            percent = round(changed / max(1, sums.n * cells) * 100, decimals)
+        out.append((sums.n, sums.n, had, left, changed, percent))
+    return rows.select(*names), out
+
+
+def _measured_step(rows: DataFrame, land, steps: Sequence[Step], chunk_days: int) -> tuple[DataFrame, list[tuple]]:
+    (step,) = steps
+    before = land(rows)
+    after = _applied(before, step, step, chunk_days)
+    _need_columns(step, after.columns, before.columns)
+    after = land(after)
+    counts = [x.agg(F.count("*"), F.coalesce(F.sum(_missing(x)), F.lit(0))).first() for x in (before, after)]
+    (n, had), (m, left) = counts
+    return after, [(n, m, had, left, None, None)]
+
+
 def stage_metrics(df: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """What each step changed, from one pass over the cleaned rows.
 

@@ -1,5 +1,6 @@
 """Questions asked of readings and of the published table."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -8,11 +9,14 @@ from pyspark.sql import functions as F
 
 from sunsieve.errors import QueryError, SieveError
 from sunsieve.schema import MAX_SCAN_BYTES, STATION, TARGET, TIME
-from sunsieve.sources.shared import file_sizes, folders_in
+from sunsieve.sources.footers import data_files, with_chunk_bytes
 from sunsieve.sources.tables import moment, partition_of, read_table, stored_grain, time_range
 
 Moment = str | datetime
 
+#: What a query of average power reads.
+AVERAGE_COLUMNS = (STATION, TIME, TARGET)
+
 
 def average_power(df: DataFrame, start: Moment, end: Moment) -> DataFrame:
     """Average power of each station from start to end, both included."""
@@ -50,21 +54,37 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def scan_estimate(
-    spark: SparkSession, table: str, start: Moment, end: Moment, grain: str | None = None
+    spark: SparkSession,
+    table: str,
+    start: Moment,
+    end: Moment,
+    grain: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Partitions, files and bytes a query over the range would open, without opening any.
+    """Partitions, files and bytes a query over the range would open, without reading any row.
 
-    Folders are named by their date, so the partitions in the range are known from their
-    names, and the files from listing those. No job runs over the table. Whole files count,
-    so column pruning makes the true scan smaller. The grain is read from the table.
+    The files are those of the table's partitions in the range, by Spark's own listing, which is
+    pruned before it is counted. With `columns`, bytes are those of their chunks, which a scan of
+    just these columns reads: tasks take them from the files' footers. Without, whole files count.
     """
-    grain = stored_grain(_stored(spark, table, grain))
-    bounds = [partition_of(moment(m), grain).cast("string") for m in (start, end)]
-    low, high = spark.range(1).select(*bounds).first()
-    found = [f for f in folders_in(spark, table) if f"{grain}={low}" <= f <= f"{grain}={high}"]
-    sizes = [size for folder in found for size in file_sizes(spark, f"{table}/{folder}").values()]
-    row = (len(found), len(sizes), sum(sizes))
-    return spark.createDataFrame([row], "partitions long, files long, bytes long")
+    return _estimated(spark, table, _stored(spark, table, grain), start, end, columns)
+
+
+def _estimated(
+    spark: SparkSession, table: str, stored: DataFrame, start: Moment, end: Moment, columns: Sequence[str] | None
+) -> DataFrame:
+    if columns is not None and (unknown := sorted(set(columns) - set(stored.columns))):
+        raise QueryError(f"no column {unknown} in {table}")
+    grain = stored_grain(stored)
+    files = data_files(spark, table, stored.schema[grain])
+    low, high = (partition_of(moment(m), grain) for m in (start, end))
+    files = files.where(F.col(grain).between(low, high))
+    size = F.col("length") if columns is None else F.col("bytes")
+    if columns is not None:
+        files = with_chunk_bytes(files, columns, grain)
+    return files.agg(
+        F.count_distinct(grain).alias("partitions"), F.count("*").alias("files"), F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("bytes")
+    )
 
 
 def _stored(spark: SparkSession, table: str, grain: str | None) -> DataFrame:
@@ -87,13 +107,14 @@ def query_average_power(
 ) -> DataFrame:
     """Average power from the table; the estimate alone when dry, a QueryError above the cap."""
     try:
-        estimate = scan_estimate(spark, table, start, end, grain)
+        stored = _stored(spark, table, grain)
+        estimate = _estimated(spark, table, stored, start, end, AVERAGE_COLUMNS)
         if dry_run:
             return estimate
         size = estimate.first()["bytes"]
         if size > max_bytes:
             raise QueryError(f"the query would scan {size} bytes, {max_bytes} are allowed")
-        return average_power(_stored(spark, table, grain), start, end)
+        return average_power(stored, start, end)
     except SieveError:
         raise
     except Exception as cause:
@@ -102,7 +123,7 @@ def query_average_power(
 
 @dataclass(frozen=True)
 class Answer:
-    """A query's rows, one per station, with their number and the bytes of the files behind them."""
+    """A query's rows, one per station, with their number and the bytes of the columns behind them."""
 
     rows: list[dict]
     total_rows: int
@@ -114,7 +135,7 @@ def answer_average_power(
 ) -> Answer:
     """The answer as a service gives it: collected, with totals; every failure is a QueryError."""
     try:
-        size = scan_estimate(spark, table, start, end).first()["bytes"]
+        size = scan_estimate(spark, table, start, end, columns=AVERAGE_COLUMNS).first()["bytes"]
         rows = [r.asDict() for r in query_average_power(spark, table, start, end, max_bytes=max_bytes).collect()]
         return Answer(rows, len(rows), size)
     except QueryError:

@@ -36,11 +36,6 @@ def file_sizes(spark: SparkSession, folder: str, suffix: str = ".parquet") -> di
     return {name: size for name, size in found.items() if name.endswith(suffix)}
 
 
-def folders_in(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the folders in a folder."""
-    return sorted(f.getPath().getName() for f in _listed(spark, folder) if f.isDirectory())
-
-
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared one, wherever that lies."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

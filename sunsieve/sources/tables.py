@@ -1,8 +1,11 @@
 """The published file, the partitioned table, and appends that can be repeated."""
 
+import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +13,8 @@ from pyspark.sql import functions as F
 from sunsieve.errors import LoadError, SieveError
 from sunsieve.operators.align import enforce_schema
 from sunsieve.schema import COMPRESSION, DAY, GOLD_PREFIX, LOAD_PREFIX, STATION, TIME
-from sunsieve.sources.shared import removed, shared_folder
+from sunsieve.sources.footers import data_files
+from sunsieve.sources.shared import removed
 
 MONTH = "month"
 GRAINS = (DAY, MONTH)
@@ -67,7 +71,13 @@ def append_clustered(df: DataFrame, table: str, grain: str = DAY) -> None:
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
-    """The table, or None before the first append."""
+    """The table, or None before the first append. One whose replacement broke is refused."""
+    if _note(spark, _replacing(table)) is not None:
+        raise LoadError(f"a replacement in {table} broke; the next append finishes it")
+    return _stored_table(spark, table)
+
+
+def _stored_table(spark: SparkSession, table: str) -> DataFrame | None:
     try:
         return spark.read.parquet(table)
     except AnalysisException as cause:
@@ -95,6 +105,17 @@ def time_range(df: DataFrame, start: str | datetime, end: str | datetime) -> Dat
     return rows
 
 
+def _sums(columns: Sequence[str]) -> list[Column]:
+    cells = [x for c in sorted(columns) for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    sums = (F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")).alias(f"sum_{seed}") for seed in (1, 2))
+    return [F.count("*").alias("n_rows"), *sums]
+
+
+def _spelled(sums: DataFrame) -> DataFrame:
+    content = F.concat_ws(":", *(F.col(f"sum_{seed}").cast("string") for seed in (1, 2)))
+    return sums.select("n_rows", content.alias("content"))
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and a content hash, the same for any order and partitioning.
 
@@ -102,9 +123,42 @@ def fingerprint(df: DataFrame) -> DataFrame:
     another column shows. Two independent hashes are added up over the rows: unlike
     an XOR, equal rows do not cancel in a sum.
     """
-    cells = [x for c in sorted(df.columns) for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
-    return df.agg(F.count("*").alias("n_rows"), F.concat_ws(":", *sums).alias("content"))
+    return _spelled(df.agg(*_sums(df.columns)))
+
+
+def partition_sums(stored: DataFrame, grain: str) -> DataFrame:
+    """The sums behind the fingerprint, for each partition of a stored table."""
+    return stored.groupBy(grain).agg(*_sums([c for c in stored.columns if c != grain]))
+
+
+def kept_fingerprint(spark: SparkSession, table: str) -> DataFrame:
+    """The fingerprint of a stored table without its partition column, from sums kept per partition.
+
+    `<table>.sums` holds the sums of each partition and the names and lengths of the files they
+    were taken from, as a hash. Only partitions whose files are others now are read; sums of the
+    rest are added up.
+    """
+    stored = read_table(spark, table)
+    if stored is None:
+        raise LoadError(f"no table at {table}")
+    grain, path = stored_grain(stored), f"{table}.sums"
+    named = F.sum(F.xxhash64("path", "length").cast("decimal(38,0)")).cast("string").alias("files")
+    now = data_files(spark, table, stored.schema[grain]).groupBy(grain).agg(named)
+    same = F.col(grain).eqNullSafe(F.col("_part")) & (F.col("files") == F.col("_files"))
+    kept = _stored_table(spark, path)
+    if kept is not None:
+        old = kept.select(F.col(grain).alias("_part"), F.col("files").alias("_files"))
+        now = now.join(old, same, "left_anti")
+    changed = now.collect()  # a row per changed partition
+    if changed:
+        days = [r[grain] for r in changed]
+        rows = stored.where(F.col(grain).isin([d for d in days if d]) | (F.col(grain).isNull() & F.lit(None in days)))
+        files = spark.createDataFrame(changed, f"{grain} date, files string").withColumnRenamed(grain, "_part")
+        fresh = partition_sums(rows, grain).join(files, F.col(grain).eqNullSafe(F.col("_part"))).drop("_part")
+        fresh.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(grain).parquet(path)
+    current = data_files(spark, table, stored.schema[grain]).select(F.col(grain).alias("_part")).distinct()
+    kept = spark.read.parquet(path).join(current, F.col(grain).eqNullSafe(F.col("_part")), "left_semi")
+    return _spelled(kept.agg(F.sum("n_rows").alias("n_rows"), *(F.sum(f"sum_{k}").alias(f"sum_{k}") for k in (1, 2))))
 
 
 def load_id(uri: Column, project: Column, dataset: Column, table: Column, content: Column) -> Column:
@@ -163,10 +217,14 @@ def append_new(batch: DataFrame, table: str, grain: str = DAY, on_conflict: str
     Where the table has the key with other values, `on_conflict` says what holds:
     "error" refuses the batch with their count and a sample, "keep" leaves the stored
     row, "replace" takes the new one and rewrites the partitions it lies in.
+
+    What a replacement writes is noted beside the table until it is in place: one that broke
+    is finished before anything is appended, and until then the table cannot be read here.
     """
     if on_conflict not in ("error", "keep", "replace"):
         raise ValueError("on_conflict must be error, keep or replace")
     spark = batch.sparkSession
+    finish_replacement(spark, table, grain)
     known = read_table(spark, table)
     if known is None:
         return append_clustered(batch, table, grain)
@@ -181,15 +239,70 @@ def append_new(batch: DataFrame, table: str, grain: str = DAY, on_conflict: str
         raise LoadError(f"{table} holds {n} keys of the batch with other values, such as {sample}")
     if not n:
         return append_clustered(without_known(batch, known, grain), table, grain)
-    # What stays of the touched partitions, then the batch. It is written aside first: a table
-    # cannot be overwritten while it is read, and a load that breaks can be repeated.
+    # What stays of the touched partitions, then the batch.
     stays = _matched(_stored_near(batch, known, grain).select(*batch.columns), batch.select(*KEY), "left_anti")
-    aside = shared_folder(spark, "replaced")
+    replace_partitions(stays.unionByName(batch), table, grain)
+
+
+def replace_partitions(rows: DataFrame, table: str, grain: str = DAY) -> None:
+    """Write the rows in place of the partitions they touch; other partitions stay.
+
+    The rows may come from the table itself: they are written aside first, and a replacement that
+    breaks is finished from there.
+    """
+    spark, aside = rows.sparkSession, f"{table}.aside-{uuid.uuid4().hex}"
     try:
-        stays.unionByName(batch).write.parquet(aside)
-        overwrite_partitions(spark.read.parquet(aside), table, grain)
-    finally:
+        rows.write.parquet(aside)
+    except Exception:
+        removed(spark, aside)
+        raise
+    if not _noted(spark, _replacing(table), aside):
         removed(spark, aside)
+        raise LoadError(f"another replacement in {table} has begun")
+    finish_replacement(spark, table, grain)
+
+
+def _replacing(table: str) -> str:
+    return f"{table}.replacing"
+
+
+def finish_replacement(spark: SparkSession, table: str, grain: str = DAY) -> None:
+    """Put in place what a replacement has written aside, if one has begun; as often as need be."""
+    aside = _note(spark, _replacing(table))
+    if aside is None:
+        return
+    overwrite_partitions(spark.read.parquet(aside), table, grain)
+    removed(spark, _replacing(table))
+    removed(spark, aside)
+
+
+def _store(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _noted(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with a text; False if there is one already. As atomic as the store's own create."""
+    store, where = _store(spark, path)
+    try:
+        out = store.create(where, False)
+    except Py4JJavaError:
+        if store.exists(where):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def _note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    store, where = _store(spark, path)
+    if not store.exists(where):
+        return None
+    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
 
 def overwrite_partitions(rows: DataFrame, table: str, grain: str = DAY) -> None:
@@ -212,13 +325,17 @@ def load_once(
     name: str = "",
     grain: str = DAY,
     on_conflict: str = "error",
+    resume: bool = False,
 ) -> str:
     """Add a published file to the table; a second call with the same file changes nothing.
 
     A file with other values for keys of the table is refused, unless `on_conflict` says
-    otherwise (see `append_new`); a refused load is not noted. The load is noted in `<table>.loads` after the rows are in, and rows are matched
-    by key, so a load that broke half way is finished by calling again. One writer at
-    a time is assumed, as plain Parquet has no transactions.
+    otherwise (see `append_new`); a refused load is not noted. A load first creates a note of its
+    begin, which only one can, and is noted in `<table>.loads` after the rows are in: of two
+    loaders of one file the second is refused while the first is at work. A load that fails takes
+    its begin back, and as rows are matched by key it is finished by calling again; one that was
+    killed leaves it, and `resume` says that nobody is at work any more. Loads of different files
+    into one table are still to come one after the other, as plain Parquet has no transactions.
     """
     if not uri.startswith(root.rstrip("/") + "/"):
         raise LoadError(f"{uri} is not below {root}")
@@ -231,9 +348,17 @@ def load_once(
         done = read_table(spark, ledger)
         if done is not None and not done.where(F.col("load_id") == this).isEmpty():
             return this
-        append_new(batch, table, grain, on_conflict)
+        begun = f"{table}.begun-{this}"
+        if not _noted(spark, begun, uri) and not resume:
+            raise LoadError(f"a load of {uri} has begun; resume it if nobody is at work on it")
+        try:
+            append_new(batch, table, grain, on_conflict)
+        except Exception:
+            removed(spark, begun)
+            raise
         note = spark.range(1).select(F.lit(this).alias("load_id"), F.lit(uri).alias("uri"))
         note.write.mode("append").parquet(ledger)
+        removed(spark, begun)
         return this
     except SieveError:
         raise

@@ -16,7 +16,7 @@ from sunsieve.plans.clean import STEPS, Step, clean
 from sunsieve.schema import DAY, MEASURES, STATION, TIME, TIME_FORMAT
 from sunsieve.sources.files import aligned, parsed
 from sunsieve.sources.shared import removed, shared_folder
-from sunsieve.sources.tables import append_new, one_per_key, overwrite_partitions, read_table, replace_table
+from sunsieve.sources.tables import append_new, finish_replacement, one_per_key, read_table, replace_partitions, replace_table
 from sunsieve.streaming.reach import changed_units, day_summaries
 
 HEADER = (TIME, *MEASURES, STATION)
@@ -96,6 +96,7 @@ def reclean(
     spark = days.sparkSession
     touched = days.select(F.col(DAY).cast("date").alias(DAY)).distinct()
     summaries = _kept_summaries(spark, raw, touched)
+    finish_replacement(spark, cleaned)
     stored, before = read_table(spark, raw), read_table(spark, cleaned)
     aside = shared_folder(spark, "recleaned")
     try:
@@ -110,7 +111,6 @@ def reclean(
         out = clean(rows, steps, chunk_days=chunk_days).withColumn(DAY, F.col(TIME).cast("date"))
         out = _same_unit(out, changed, "left_semi")
         stays = _same_unit(_on_days(before, changed), changed, "left_anti")
-        out.unionByName(stays.select(out.columns)).drop(DAY).write.parquet(f"{aside}/rows")
-        overwrite_partitions(spark.read.parquet(f"{aside}/rows"), cleaned, DAY)
+        replace_partitions(out.unionByName(stays.select(out.columns)).drop(DAY), cleaned)
     finally:
         removed(spark, aside)

@@ -10,7 +10,7 @@ from sunsieve.operators import checks
 from sunsieve.operators.hampel import hampel
 from sunsieve.operators.impute import impute
 from sunsieve.operators.night import zero_at_night
-from sunsieve.plans.clean import clean, stage_metrics
+from sunsieve.plans.clean import clean, clean_measured, stage_metrics
 from sunsieve.schema import DELTAS, MEASURES, NIGHT_ZERO, STATION, TIME, WIND
 from sunsieve.sources.files import load_readings
 
@@ -161,3 +161,37 @@ def test_callers_may_move_time_and_stations_between_pieces(spark, dirty):
 
     found = clean(dirty, [zero_at_night, backwards, impute], chunk_days=1)
     assert found.exceptAll(impute(backwards(zero_at_night(dirty)))).isEmpty()
+
+
+def test_metrics_are_those_of_the_steps_that_ran(dirty, tmp_path):
+    landings = []
+
+    def land(df):
+        landings.append(f"{tmp_path}/{len(landings)}")
+        df.write.parquet(landings[-1])
+        return df.sparkSession.read.schema(df.schema).parquet(landings[-1])
+
+    def halved(df):
+        return df.where(F.col(STATION) < 5)
+
+    steps = (zero_at_night, hampel, impute)
+    rows, metrics = clean_measured(dirty, land, steps)
+    assert rows.columns == dirty.columns and rows.exceptAll(clean(dirty, steps)).isEmpty() and rows.count() == stations.ROWS
+    assert len(landings) == 1  # one plan, written once
+    found, old = [r.asDict() for r in metrics.orderBy("position").collect()], stage_metrics(dirty).first()
+    assert [(r["step"], r["rows_before"], r["rows_after"]) for r in found] == [(s.__name__, stations.ROWS, stations.ROWS) for s in steps]
+    assert [r["changed"] for r in found] == [old.night_rows, old.outliers, old.nulls_resolved]
+    assert [r["changed_percent"] for r in found] == [old.night_percent, old.outlier_percent, None]
+    assert (found[1]["nulls_after"], found[2]["nulls_after"]) == (5, 0)
+
+    only = clean_measured(dirty, land, (zero_at_night,))[1].collect()
+    assert [(r.step, r.nulls_after) for r in only] == [("zero_at_night", 5)]
+    rows, metrics = clean_measured(dirty, land, (impute, halved, hampel))
+    assert rows.exceptAll(clean(dirty, (impute, halved, hampel))).isEmpty()
+    told = {r.step: r for r in metrics.collect()}
+    assert (told["halved"].rows_before, told["halved"].rows_after, told["halved"].changed) == (stations.ROWS, stations.ROWS // 2, None)
+    assert told["hampel"].rows_before == stations.ROWS // 2 and told["impute"].changed == 5
+    rows, metrics = clean_measured(dirty, land, ())
+    assert metrics.isEmpty() and rows.count() == stations.ROWS
+    with pytest.raises(TransformError, match="changed the columns"):
+        clean_measured(dirty, land, [lambda df: df.drop("power")])

@@ -1,13 +1,17 @@
 import hashlib
 import os
+import pathlib
+import shutil
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import stations
 from sunsieve.errors import LoadError, QueryError, TransformError
 from sunsieve.operators.align import enforce_schema
+from sunsieve.operators.night import zero_at_night
 from sunsieve.plans import metrics
 from sunsieve.plans.refresh import refresh
 from sunsieve.schema import FINAL_SCHEMA, STATION, TIME
@@ -222,7 +226,8 @@ def test_estimates_are_what_a_listing_says(spark, rows, tmp_path):
     found = metrics.scan_estimate(spark, where, "2021-03-31", "2021-03-31 12:00:00").first()
     assert tuple(found) == (1, len(sizes), sum(sizes))
     answer = metrics.answer_average_power(spark, where, "2021-03-31", "2021-03-31 12:00:00")
-    assert (answer.total_rows, answer.bytes_processed, len(answer.rows)) == (10, sum(sizes), 10)
+    read = footers(where, metrics.AVERAGE_COLUMNS, ["2021-03-31"])
+    assert (answer.total_rows, answer.bytes_processed, len(answer.rows)) == (10, read, 10) and read < sum(sizes)
 
 
 def test_failures_of_questions_are_query_errors(spark, rows, tmp_path):
@@ -257,10 +262,136 @@ def test_refresh_end_to_end(spark, tmp_path):
     assert done.load_id != again.load_id
     stored = spark.read.parquet(f"{root}/table")
     assert stored.count() == stations.ROWS and stored.where("lmd_windspeed < -300 OR lmd_pressure IS NULL").isEmpty()
-    assert done.metrics.first()["nulls_resolved"] == 5 and done.metrics.first()["bytes_written"] > 0
+    told = {r["step"]: r for r in done.metrics.collect()}
+    assert list(told) == ["zero_at_night", "hampel", "impute"] and told["impute"]["changed"] == 5
+    assert told["hampel"]["changed"] >= 1 and all(r["bytes_written"] > 0 for r in told.values())
     assert done.report.where("check = 'nulls' AND violations = 5").count() == 1
 
 
+def test_a_refused_refresh_takes_its_file_back(spark, tmp_path):
+    root, lines = str(tmp_path / "out"), stations.rows()
+    path = stations.write(tmp_path / "in.csv", lines)
+    refresh(spark, [path], root, f"{root}/table", run_id="r1", steps=(zero_at_night,))
+    other = stations.write(tmp_path / "other.csv", [x | {"nwp_pressure": "1.0"} for x in lines[:50]])
+    with pytest.raises(LoadError, match="50 keys"):
+        refresh(spark, [other], root, f"{root}/table", run_id="r2", steps=(zero_at_night,))
+    assert sorted(os.listdir(f"{root}/gold")) == ["pvod_r1.parquet"]
+    assert spark.read.parquet(f"{root}/table").where("nwp_pressure = 1").isEmpty()
+
+
+def footers(table, columns, days):
+    """Bytes of the columns' chunks by every file's footer."""
+    total = 0
+    for day in days:
+        for file in pathlib.Path(table, f"day={day}").glob("*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            chunks = (meta.row_group(g).column(k) for g in range(meta.num_row_groups) for k in range(meta.num_columns))
+            total += sum(c.total_compressed_size for c in chunks if c.path_in_schema in columns)
+    return total
+
+
+@pytest.mark.parametrize("columns", [["station_id", "date_time", "power"], ["lmd_pressure"], ["day", "power"]])
+def test_estimates_by_column_are_what_the_footers_say(spark, rows, tmp_path, columns):
+    where = str(tmp_path / "table")
+    tables.append_clustered(rows, where)
+    found = metrics.scan_estimate(spark, where, "2021-03-10", "2021-03-10 23:45", columns=columns).first()
+    assert (found["partitions"], found["bytes"]) == (1, footers(where, columns, ["2021-03-10"]))
+    whole = metrics.scan_estimate(spark, where, "2021-03-10", "2021-03-10 23:45").first()
+    assert found["files"] == whole["files"] and 0 < found["bytes"] < whole["bytes"]
+    with pytest.raises(QueryError, match="no column"):
+        metrics.scan_estimate(spark, where, "2021-03-10", "2021-03-10 23:45", columns=["nothing"])
+
+
+def test_two_loads_of_one_file_do_not_both_append(spark, rows, tmp_path, monkeypatch):
+    root, where = str(tmp_path / "out"), str(tmp_path / "table")
+    uri = tables.export_gold(rows, root, "r")
+    append, inner = tables.append_new, []
+
+    def meanwhile(*args):  # another loader comes while the first has begun
+        if not inner:
+            inner.append(True)
+            with pytest.raises(LoadError, match="begun"):
+                tables.load_once(spark, uri, where, root)
+        append(*args)
+
+    monkeypatch.setattr(tables, "append_new", meanwhile)
+    one = tables.load_once(spark, uri, where, root)
+    assert tables.load_once(spark, uri, where, root) == one
+    assert spark.read.parquet(where).count() == rows.count() and spark.read.parquet(f"{where}.loads").count() == 1
+
+
+def test_an_interrupted_load_is_seen_and_resumed(spark, rows, tmp_path, monkeypatch):
+    root, where = str(tmp_path / "out"), str(tmp_path / "table")
+    uri = tables.export_gold(rows, root, "r")
+
+    def dies(*args):
+        raise KeyboardInterrupt
+
+    append = tables.append_new
+    monkeypatch.setattr(tables, "append_new", dies)
+    with pytest.raises(KeyboardInterrupt):
+        tables.load_once(spark, uri, where, root)
+    monkeypatch.setattr(tables, "append_new", append)
+    with pytest.raises(LoadError, match="begun"):
+        tables.load_once(spark, uri, where, root)
+    tables.load_once(spark, uri, where, root, resume=True)
+    assert spark.read.parquet(where).count() == rows.count()
+
+
+def test_a_replacement_that_broke_is_finished_first(spark, rows, tmp_path, monkeypatch):
+    where = str(tmp_path / "table")
+    tables.append_clustered(rows, where)
+    n = rows.count()
+    changed = rows.limit(40).withColumn("power", F.lit(-1.0)).cache()
+    overwrite = tables.overwrite_partitions
+
+    def breaks(new, table, grain="day"):  # the old files are gone, the new ones not yet there
+        for day in pathlib.Path(table).glob("day=*"):
+            shutil.rmtree(day)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "overwrite_partitions", breaks)
+    with pytest.raises(RuntimeError):
+        tables.append_new(changed, where, on_conflict="replace")
+    monkeypatch.setattr(tables, "overwrite_partitions", overwrite)
+    others = spark.read.parquet(where) if any(pathlib.Path(where).glob("day=*")) else None
+    assert others is None or others.count() < n
+    with pytest.raises(LoadError, match="broke"):
+        tables.read_table(spark, where)
+    tables.append_new(changed.limit(1), where, on_conflict="replace")
+    stored = tables.read_table(spark, where)
+    touched = {str(d) for (d,) in rows.select(F.col("date_time").cast("date")).distinct().collect()}
+    assert stored.where("power = -1").count() == 40
+    assert stored.join(changed.select(F.col("date_time").cast("date").alias("day")).distinct(), "day", "left_semi").count() > 40
+    assert {p.name for p in tmp_path.iterdir()} == {"table"} and touched
+
+
+def test_the_kept_fingerprint_is_that_of_the_whole(spark, rows, tmp_path, monkeypatch):
+    where = str(tmp_path / "table")
+
+    def same():
+        whole = tables.fingerprint(spark.read.parquet(where).drop("day")).first()
+        assert tables.kept_fingerprint(spark, where).first() == whole
+
+    some = rows.where("station_id < 4")
+    tables.append_new(some, where)
+    same()
+    tables.append_new(rows.where("station_id >= 4 AND hour(date_time) < 12"), where)
+    same()
+    read = []
+    summed = tables.partition_sums
+    monkeypatch.setattr(tables, "partition_sums", lambda df, grain: read.append(df) or summed(df, grain))
+    tables.append_new(rows.limit(5).withColumn("power", F.lit(9.5)), where, on_conflict="replace")
+    same()
+    assert len(read) == 1 and read[0].select("day").distinct().count() <= 5
+    read.clear()
+    same()
+    assert not read  # nothing was touched
+    timeless = rows.limit(1).withColumn("date_time", F.lit(None).cast("timestamp_ntz"))
+    tables.append_new(timeless, where)
+    same()
+
+
 def test_arrivals_enter_once(spark, tmp_path):
     inbox, where = tmp_path / "inbox", str(tmp_path / "table")
     inbox.mkdir()
