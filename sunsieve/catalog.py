@@ -14,7 +14,7 @@ from sunsieve.functions.grid import floor_to_grid, off_grid, parse_time
 from sunsieve.functions.solar import is_night, solar_elevation
 from sunsieve.functions.values import blank_tokens
 from sunsieve.operators import checks
-from sunsieve.operators.align import align_join, enforce_schema, on_grid, union_all, with_deltas
+from sunsieve.operators.align import align_join, align_join_asof, enforce_schema, on_grid, union_all, with_deltas
 from sunsieve.operators.clearsky import impute_irradiance
 from sunsieve.operators.hampel import hampel, rolling_mad, rolling_median
 from sunsieve.operators.impute import backward_fill, forward_fill, impute, interpolate
@@ -23,7 +23,7 @@ from sunsieve.operators.spline import impute_spline
 from sunsieve.plans import metrics
 from sunsieve.plans.clean import STEPS, Step, clean, stage_metrics
 from sunsieve.plans.refresh import Refreshed, refresh
-from sunsieve.schema import IRRADIANCE, MEASURES, STATION, TIME, WIND
+from sunsieve.schema import FINAL_TYPES, IRRADIANCE, MEASURES, STATION, TIME, WIND
 from sunsieve.sources import files, tables
 from sunsieve.sources.shared import shared_folder
 from sunsieve.streaming.arrivals import keep_appending, reclean
@@ -101,6 +101,16 @@ def _join(how: str) -> Query:
     return run
 
 
+def joined_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views with the nearest click at or before them, of half an hour; both at their own times."""
+
+    def feed(event_type: str, name: str) -> DataFrame:
+        rows = events(spark, sf_dir).where(F.col("event_type") == event_type)
+        return rows.groupBy(STATION, F.col(TIME).cast("timestamp_ntz").alias(TIME)).agg(F.max("value").alias(name))
+
+    return align_join_asof(feed("view", "forecast"), feed("click", "measured"), 30, chunk_days=2)
+
+
 def _on_readings(step: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: step(readings(spark, sf_dir))
 
@@ -267,6 +277,16 @@ def scan_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.scan_estimate(spark, _published(spark, sf_dir, tables.DAY), *SOME_DAYS)
 
 
+def scan_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates by column: those of single columns add up to that of all, which whole files exceed."""
+    where = _published(spark, sf_dir, tables.DAY)
+    every, part = (metrics.scan_estimate(spark, where, *SOME_DAYS, columns=list(c)).first() for c in (FINAL_TYPES, metrics.AVERAGE_COLUMNS))
+    single = sum(metrics.scan_estimate(spark, where, *SOME_DAYS, columns=[c]).first()["bytes"] for c in metrics.AVERAGE_COLUMNS)
+    whole = metrics.scan_estimate(spark, where, *SOME_DAYS).first()
+    row = (every["partitions"], part["bytes"] == single, part["bytes"] < every["bytes"] < whole["bytes"], every["files"] == whole["files"])
+    return spark.createDataFrame([row], "partitions long, adds_up boolean, less boolean, same_files boolean")
+
+
 def scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of the estimate that does not depend on how files are cut."""
     return scan_estimate(spark, sf_dir).select("partitions")
@@ -297,6 +317,24 @@ def fingerprint_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(cases)
 
 
+def fingerprint_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint from kept sums beside that of the whole: after a load, an append, a replacement and a compaction."""
+    where = shared_folder(spark, "table")
+    rows = enforce_schema(with_deltas(readings(spark, sf_dir)))
+    early, changed = rows.where(F.col(TIME) < tables.moment(SOME_DAYS[1])), rows.where(F.minute(TIME) == 0)
+    cases = []
+    for case, step in (
+        ("loaded", lambda: tables.append_new(early, where)),
+        ("appended", lambda: tables.append_new(rows, where)),
+        ("replaced", lambda: tables.append_new(changed.withColumn("power", F.lit(-7.0)), where, on_conflict="replace")),
+        ("compacted", lambda: tables.compact(spark, where, 1)),
+    ):
+        step()
+        kept, whole = tables.kept_fingerprint(spark, where).first(), tables.fingerprint(spark.read.parquet(where).drop(tables.DAY)).first()
+        cases.append((case, kept["n_rows"], kept == whole))
+    return spark.createDataFrame(cases, "case string, n_rows long, same boolean")
+
+
 def _loaded_twice(spark: SparkSession, sf_dir: str, on_conflict: str) -> tuple[str, bool]:
     """Whether the second load was refused: a table that has been given the readings, and a file with other power on the hour and new rows."""
     root, where = shared_folder(spark, "published"), shared_folder(spark, "table")
@@ -472,6 +510,7 @@ def queries() -> dict[str, Query]:
         "sample_topk": _on_readings(metrics.preview),
         "scan_estimate": scan_estimate,
         "scan_partitions": scan_partitions,
+        "scan_columns": scan_columns,
         "fallback_source": fallback_source,
         "consolidate": consolidated,
         "csv_roundtrip": csv_roundtrip,
@@ -508,6 +547,7 @@ def queries() -> dict[str, Query]:
         "load_id": load_ids,
         "fingerprint": _on_readings(tables.fingerprint),
         "fingerprint_changes": fingerprint_changes,
+        "fingerprint_kept": fingerprint_kept,
         "load_keep": load_policy("keep"),
         "load_replace": load_policy("replace"),
         "load_conflicts": load_conflicts,
@@ -523,5 +563,6 @@ def queries() -> dict[str, Query]:
         "align_join": _join("inner"),
         "align_join_left": _join("left"),
         "align_join_full": _join("full"),
+        "align_join_asof": joined_asof,
         "union_stations": union_feeds,
     }

@@ -2,12 +2,13 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunsieve.errors import TransformError
 from sunsieve.functions.grid import floor_to_grid, parse_time
 from sunsieve.functions.values import blank_tokens, to_station
+from sunsieve.operators.series import CHUNK_DAYS, KEYS, along_series, cut, per_piece
 from sunsieve.schema import DELTAS, FINAL_TYPES, GRID_MINUTES, MEASURES, STATION, TIME, TIME_FORMAT
 
 
@@ -82,6 +83,35 @@ def align_join(
     return left.join(right, [STATION, TIME], how)
 
 
+def align_join_asof(
+    forecast: DataFrame, measured: DataFrame, tolerance_minutes: int, chunk_days: int = CHUNK_DAYS
+) -> DataFrame:
+    """Each forecast with the nearest measurement of its station at or before it, within a tolerance.
+
+    Adds `measured_at` and the measured columns, null where no measurement is near enough. Sides
+    must not share other columns; measurements must be unique per station and time, forecasts need
+    not. Forecasts without a time find nothing, and measurements without one are not found; rows
+    without a station are one series.
+
+    Both feeds are merged into one series of pieces and each row looks back inside its piece; the
+    last measurement before a piece comes from a scan over one row per piece.
+    """
+    names = [c for c in measured.columns if c not in (STATION, TIME)]
+    reading = F.struct(F.col(TIME).alias("measured_at"), *names).alias("_reading")
+    found = one_per_cell(measured.where(F.col(TIME).isNotNull())).select(STATION, TIME, reading, F.lit(0).alias("_side"))
+    asked = forecast.withColumn("_side", F.lit(1))
+    rows = cut(asked.unionByName(found, allowMissingColumns=True), chunk_days)
+    pieces = rows.groupBy(*KEYS).agg(F.max_by("_reading", F.when(F.col("_side") == 0, F.col(TIME))).alias("_last"))
+    before = F.last("_last", ignorenulls=True).over(along_series().rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.select(*KEYS, before.alias("_before"))
+    up_to_here = per_piece([TIME, "_side"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_inside", F.last("_reading", ignorenulls=True).over(up_to_here)).where("_side = 1")
+    rows = rows.join(pieces, list(KEYS)).withColumn("_found", F.coalesce("_inside", "_before"))
+    near = F.col(TIME) - F.col("_found.measured_at") <= F.make_dt_interval(F.lit(0), F.lit(0), F.lit(tolerance_minutes))
+    kept = F.when(near, F.col("_found"))
+    return rows.select(*forecast.columns, *(kept.getField(c).alias(c) for c in ("measured_at", *names)))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames; their columns must have the same names and types."""
     first, *rest = frames

@@ -298,6 +298,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(DISTINCT CAST(ts AS DATE)) AS partitions FROM events "
             f"WHERE CAST(ts AS DATE) BETWEEN DATE '{start[:10]}' AND DATE '{end[:10]}'"
         ),
+        "scan_columns": (
+            "SELECT count(DISTINCT CAST(ts AS DATE)) AS partitions, true AS adds_up, true AS less, true AS same_files FROM events "
+            f"WHERE CAST(ts AS DATE) BETWEEN DATE '{start[:10]}' AND DATE '{end[:10]}'"
+        ),
         "row_count_met": _from_readings(
             "count(*) AS n_rows, count(*) + extra AS expected, extra = 0 AS ok",
             "CROSS JOIN (VALUES (0), (1)) AS t(extra) GROUP BY extra",
@@ -309,6 +313,12 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'reordered', n, true FROM n UNION ALL SELECT 'null moved', n, false FROM n "
             "UNION ALL SELECT 'pair swapped', n + 2, false FROM n UNION ALL SELECT 'one value changed', n, false FROM n",
         ),
+        "fingerprint_kept": _with(
+            READINGS,
+            f"n AS (SELECT count(*) AS n, count(*) FILTER (WHERE date_time < TIMESTAMP '{end}') AS early FROM readings)",
+            last="SELECT 'loaded' AS \"case\", early AS n_rows, true AS same FROM n UNION ALL SELECT 'appended', n, true FROM n "
+            "UNION ALL SELECT 'replaced', n, true FROM n UNION ALL SELECT 'compacted', n, true FROM n",
+        ),
         "load_keep": _loaded(f"date_time >= TIMESTAMP '{end}' AND minute(date_time) = 0"),
         "load_replace": _loaded("minute(date_time) = 0"),
         "load_conflicts": _from_readings("count(*) AS n_rows, true AS refused", f"WHERE date_time < TIMESTAMP '{end}'"),
@@ -425,6 +435,17 @@ def oracle_sql() -> dict[str, str]:
         "align_join": _join("INNER"),
         "align_join_left": _join("LEFT"),
         "align_join_full": _join("FULL"),
+        "align_join_asof": _with(
+            *(
+                f"{name} AS (SELECT {_STATION} AS station_id, ts AS date_time, max(value) AS {value} FROM events "
+                f"WHERE event_type = '{kind}' GROUP BY 1, 2)"
+                for name, kind, value in (("f", "view", "forecast"), ("m", "click", "measured"))
+            ),
+            last="SELECT f.station_id, f.date_time, forecast, CASE WHEN near THEN m.date_time END AS measured_at, "
+            "CASE WHEN near THEN measured END AS measured FROM f ASOF LEFT JOIN m "
+            "ON f.station_id = m.station_id AND f.date_time >= m.date_time, "
+            "LATERAL (SELECT f.date_time - m.date_time <= INTERVAL 30 MINUTE AS near)",
+        ),
         "union_stations": (
             "SELECT 'supplier' AS kind, s_name AS name, s_acctbal AS balance FROM supplier "
             "UNION ALL SELECT 'customer', c_name, c_acctbal FROM customer"

@@ -310,6 +310,31 @@ def overwrite_partitions(rows: DataFrame, table: str, grain: str = DAY) -> None:
     _clustered(rows, grain).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table)
 
 
+def compact(spark: SparkSession, table: str, most_files: int = 2, file_bytes: int = 128 << 20) -> DataFrame:
+    """Write partitions of many small files anew, in few; gives (partition, files, bytes) of those before.
+
+    Small arrivals leave a file each. A partition is written anew if it has more than `most_files`
+    files and more than its bytes need in files of `file_bytes`; the others are not read. Its rows
+    are written aside and put in place of it (see `replace_partitions`), so a compaction that breaks
+    is finished by the next append or compaction. A query that is reading such a partition
+    meanwhile can fail and has to be asked again; no query sees a row twice.
+    """
+    stored = _stored_table(spark, table)
+    if stored is None:
+        raise LoadError(f"no table at {table}")
+    grain = stored_grain(stored)
+    finish_replacement(spark, table, grain)
+    sizes = data_files(spark, table, stored.schema[grain]).groupBy(grain).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    needed = F.greatest(F.lit(most_files), F.ceil(F.col("bytes") / file_bytes))
+    many = sizes.where(F.col("files") > needed).collect()  # a row per such partition
+    found = spark.createDataFrame(many, f"{grain} date, files long, bytes long")
+    if many:
+        days = [r[grain] for r in many]
+        rows = spark.read.parquet(table).where(F.col(grain).isin([d for d in days if d]) | (F.col(grain).isNull() & F.lit(None in days)))
+        replace_partitions(rows.drop(grain), table, grain)
+    return found
+
+
 def replace_table(rows: DataFrame, table: str, grain: str = DAY) -> None:
     """Write the rows in place of all that the table holds."""
     _clustered(rows, grain).mode("overwrite").option("partitionOverwriteMode", "static").parquet(table)

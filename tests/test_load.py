@@ -1,11 +1,13 @@
-from datetime import datetime
+import random
+from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 import stations
 from sunsieve.errors import AlignmentError, BoundsError, EmptySource, SourceUnavailable, TransformError
-from sunsieve.operators.align import align_join, enforce_schema, on_grid, union_all
+from sunsieve.operators.align import align_join, align_join_asof, enforce_schema, on_grid, union_all
 from sunsieve.schema import DELTAS, FINAL_SCHEMA, FINAL_TYPES, MEASURES, STATION, TIME, TIME_FORMAT
 from sunsieve.sources.files import consolidate, load_readings, read_csv, read_first_available, write_csv
 
@@ -207,3 +209,26 @@ def test_stations_out_of_range_are_refused_whatever_their_type(spark, tmp_path):
     for kind in ("smallint", "bigint"):
         with pytest.raises(Exception, match="out of 0..255"):
             enforce_schema(df.withColumn(STATION, F.lit(999).cast(kind))).collect()
+
+
+def test_nearest_measurements_at_or_before(spark):
+    rng = random.Random(4)
+    start = datetime(2024, 2, 27)
+    times = {s: sorted({start + timedelta(minutes=rng.choice([5, 20, 4_000]) * rng.randint(0, 60)) for _ in range(40)}) for s in (1, 2, None)}
+    measured = [(s, t, float(i)) for s, ts in times.items() for i, t in enumerate(ts)] + [(1, None, 7.0)]
+    asked = [(s, start + timedelta(minutes=7 * rng.randint(0, 9_000)), float(k)) for k in range(90) for s in (1, 2, None, 5)]
+    asked += [(1, None, 1.0), (1, times[1][0], 2.0), (1, times[1][0], 2.0)]
+
+    def frame(rows, name):
+        df = spark.createDataFrame([(s, str(t) if t else None, v) for s, t, v in rows], f"station_id short, t string, {name} double")
+        return df.select(STATION, F.col("t").cast("timestamp_ntz").alias(TIME), name).repartition(3)
+
+    for chunk_days in (1, 400):
+        found = align_join_asof(frame(asked, "x"), frame(measured, "y"), 45, chunk_days).collect()
+        want = []
+        for s, t, x in asked:
+            near = [(u, y) for z, u, y in measured if z == s and u and t and timedelta(0) <= t - u <= timedelta(minutes=45)]
+            want.append((s, t, x, *max(near, default=(None, None))))
+        assert Counter(map(tuple, found)) == Counter(want)
+    with pytest.raises(Exception, match="share the time"):
+        align_join_asof(frame(asked, "x"), frame(measured[:1] * 2, "y"), 45).collect()

@@ -407,3 +407,22 @@ def test_arrivals_enter_once(spark, tmp_path):
     assert follow().count() == stations.ROWS
     assert follow("other").count() == stations.ROWS
     assert follow().where("hour(date_time) = 0 AND power <> 0").isEmpty()
+
+
+def test_many_small_arrivals_of_a_day_become_few_files(spark, rows, tmp_path):
+    where = str(tmp_path / "table")
+    two = days(rows, 2)
+    tables.append_clustered(two.where("day(date_time) = 31"), where)
+    for station in range(5):
+        tables.append_clustered(two.where(f"day(date_time) = 30 AND station_id % 5 = {station}"), where)
+
+    def files(day):
+        return sorted(p.name for p in pathlib.Path(where, f"day=2021-03-{day}").glob("*.parquet"))
+
+    whole, other = tables.fingerprint(spark.read.parquet(where)).first(), files(31)
+    assert len(files(30)) >= 5
+    told = tables.compact(spark, where).collect()
+    assert [(str(r["day"]), r["files"] >= 5) for r in told] == [("2021-03-30", True)]
+    assert len(files(30)) <= 2 and files(31) == other
+    assert tables.fingerprint(spark.read.parquet(where)).first() == whole
+    assert tables.compact(spark, where).isEmpty()
