@@ -189,9 +189,11 @@ def _search(queries: DataFrame, packed: DataFrame, index: Index, k: int, slack:
                 blocks = np.concatenate([own.first[cells], *(own.first[cells] + s for s in range(1, int(own.n_blocks[cells].max(initial=1))))])
                 reps = len(blocks) // max(1, len(cells))
                 real = np.concatenate([own.n_blocks[cells] > s for s in range(reps)]) if reps else np.empty(0, bool)
-                all_cells = np.tile(cells, reps)
-                for block in np.unique(blocks[real]):
-                    rows.append((int(block), q, v, all_cells[real & (blocks == block)].astype(np.int32)))
+                block, cell = blocks[real], np.tile(cells, reps)[real].astype(np.int32)
+                by_block = np.argsort(block, kind="stable")  # once a query, then cut where the block changes
+                block, cell = block[by_block], cell[by_block]
+                cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+                rows += [(int(block[a]), q, v, cell[a:b]) for a, b in zip(cuts, cuts[1:]) if b > a]
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "query_id", "v", "cells"])
@@ -232,7 +234,8 @@ def _search(queries: DataFrame, packed: DataFrame, index: Index, k: int, slack:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     chunks = max(1, -(-n_queries // CHUNK))
-    routed = queries.mapInArrow(route, "block long, query_id long, v binary, cells array<int>")
+    # Few bytes but much work: dealt by the queries' number, which Spark would merge into one task by size.
+    routed = queries.repartition(chunks).mapInArrow(route, "block long, query_id long, v binary, cells array<int>")
     # Hashing spreads queries evenly over chunks; a chunk is sized by the entries' count of a block.
     routed = routed.withColumn("chunk", F.pmod(F.xxhash64("query_id", "v"), F.lit(chunks)))
     asked = routed.groupBy("block", "chunk").agg(F.collect_list(F.struct("query_id", "v", "cells")).alias("asked"))
