@@ -201,6 +201,9 @@ def test_every_participant_is_the_assistant_once(spark):
     rows = [(c, t, rnd.choice(["anna", "bo", "cy", "system", None, " "]), rnd.choice(["hi", "é🙂", "", None])) for c in (1, 2, None) for t in range(30)]
     rows += [(3, None, "anna", "x"), (3, None, "bo", "y"), (3, 1, "anna", "z"), (3, 1, "anna", "z"), (4, 0, "system", "alone")]
     rows += [(5, t, "ab"[t % 2], f"turn {t}") for t in range(2 * perspectives.SPAN + 9)]
+    # Without numbers and without a name, or all of one number: no span by turns would part these.
+    rows += [(None, None, rnd.choice("ab"), f"x{rnd.randint(0, 40)}") for _ in range(2 * perspectives.SPAN)]
+    rows += [(6, 7, "a", "same") for _ in range(perspectives.SPAN + 3)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, speaker int")
     found = perspectives.rotate(df)
     assert Counter(tuple(r) for r in found.collect()) == plain_rotation(rows)
