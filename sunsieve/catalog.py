@@ -203,6 +203,11 @@ def splined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute_spline(readings(spark, sf_dir).select(STATION, TIME, "power", *IRRADIANCE), ["power", *IRRADIANCE])
 
 
+def hampel_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outliers of some ten days around each row."""
+    return hampel(readings(spark, sf_dir).select(STATION, TIME, *WIND), window=1_001, chunk_days=4)
+
+
 def load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = F.concat(F.lit("gold/"), F.col("o_orderkey").cast("string"), F.lit(".parquet"))
     found = tables.load_id(uri, F.lit("p"), F.lit("d"), F.col("o_orderpriority"), F.md5("o_orderstatus"))
@@ -532,6 +537,7 @@ def queries() -> dict[str, Query]:
         "rolling_mad": _rolled(rolling_mad),
         "hampel": _on_readings(hampel),
         "hampel_many_series": hampel_many,
+        "hampel_wide": hampel_wide,
         "ffill": _on_readings(forward_fill),
         "bfill": _on_readings(backward_fill),
         "interpolate": _on_readings(interpolate),

@@ -2,7 +2,7 @@
 
 Centred windows by row position within a station, partial at the ends, nulls
 skipped. The deviation is a median of deviations, so a row sees twice half a
-window to either side.
+window to either side. Wide windows are slid over, see `wide`.
 """
 
 from collections.abc import Sequence
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sunsieve.functions.values import middle
 from sunsieve.operators.series import KEYS, by_chunk, in_order, with_nearby
+from sunsieve.operators.wide import WIDE, wide_medians
 from sunsieve.schema import HAMPEL_FACTOR, HAMPEL_THRESHOLD, HAMPEL_WINDOW, MAD_FLOOR, WIND
 
 
@@ -44,6 +45,9 @@ def rolling_median(
 ) -> DataFrame:
     """Add the rolling median of each column."""
     half = _half(window)
+    if window >= WIDE:
+        found = wide_medians(df, columns, window, deviations=False)
+        return found.withColumnsRenamed({f"_med_{c}": c + suffix for c in columns})
     rows = with_nearby(df, columns, half, half)
     found = _medians(rows, {c + suffix: c for c in columns}, _frame(df, columns, half))
     return found.where(~F.col("_nearby")).drop("_nearby")
@@ -52,6 +56,8 @@ def rolling_median(
 def _deviations(df: DataFrame, columns: Sequence[str], window: int) -> DataFrame:
     """Add `_med_*`, `_dev_*` and `_mad_*` for each column."""
     half = _half(window)
+    if window >= WIDE:
+        return wide_medians(df, columns, window, deviations=True)
     rows = with_nearby(df, columns, 2 * half, 2 * half)
     frame = _frame(df, columns, half)
     rows = _medians(rows, {f"_med_{c}": c for c in columns}, frame)

@@ -47,14 +47,14 @@ def _night(name: str, source: str, columns: list[str]) -> str:
     return f"{name} AS (SELECT {picked} FROM {source})"
 
 
-def _mid(column: str) -> str:
-    return f"median({column}) OVER ({_ORDERED} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"
+def _mid(column: str, half: int = 2) -> str:
+    return f"median({column}) OVER ({_ORDERED} ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)"
 
 
-def _deviations(name: str, source: str, wind) -> list[str]:
-    med = ", ".join(f"{_mid(c)} AS med_{c}" for c in wind)
+def _deviations(name: str, source: str, wind, half: int = 2) -> list[str]:
+    med = ", ".join(f"{_mid(c, half)} AS med_{c}" for c in wind)
     dev = ", ".join(f"abs({c} - med_{c}) AS dev_{c}" for c in wind)
-    mad = ", ".join(f"greatest({_mid(f'dev_{c}')}, 1e-10) AS mad_{c}" for c in wind)
+    mad = ", ".join(f"greatest({_mid(f'dev_{c}', half)}, 1e-10) AS mad_{c}" for c in wind)
     return [
         f"{name}_m AS (SELECT *, {med} FROM {source})",
         f"{name}_d AS (SELECT *, {dev} FROM {name}_m)",
@@ -66,11 +66,11 @@ def _is_outlier(c: str) -> str:
     return f"dev_{c} > (3.0::DOUBLE * 1.4826::DOUBLE) * mad_{c}"
 
 
-def _hampel(name: str, source: str, columns: list[str], wind=WIND, extra: str = "") -> list[str]:
+def _hampel(name: str, source: str, columns: list[str], wind=WIND, extra: str = "", half: int = 2) -> list[str]:
     picked = ", ".join(
         f"CASE WHEN {_is_outlier(c)} THEN med_{c} ELSE {c} END AS {c}" if c in wind else c for c in columns
     )
-    return [*_deviations(name, source, wind), f"{name} AS (SELECT {picked}{extra} FROM {name}_a)"]
+    return [*_deviations(name, source, wind, half), f"{name} AS (SELECT {picked}{extra} FROM {name}_a)"]
 
 
 def _fill(name: str, source: str, columns: list[str], measures, how: str) -> list[str]:
@@ -404,6 +404,9 @@ def oracle_sql() -> dict[str, str]:
         "hampel_many_series": _with(
             SUPPLIERS, *_hampel("calm", "suppliers", many, ["power", "nwp_windspeed"]), last="SELECT * FROM calm"
         ),
+        "hampel_wide": _with(
+            READINGS, *_hampel("calm", "readings", ["station_id", "date_time", *WIND], half=500), last="SELECT * FROM calm"
+        ),
         "ffill": _filled("ffill"),
         "bfill": _filled("bfill"),
         "interpolate": _filled("interpolate"),

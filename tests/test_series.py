@@ -3,7 +3,9 @@
 import random
 from datetime import datetime, timedelta
 from statistics import median
+from time import perf_counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from sunsieve.operators.checks import _steps, gaps
 from sunsieve.operators.hampel import hampel, rolling_mad, rolling_median
 from sunsieve.operators.impute import backward_fill, forward_fill, impute, interpolate
 from sunsieve.operators.series import KEYS, cut
+from sunsieve.operators.wide import WIDE, sliding_median
 from sunsieve.schema import STATION, TIME
 
 CUTS = [1, 3, 400]
@@ -192,3 +195,37 @@ def test_columns_and_order_are_kept(spark):
     assert hampel(df, ["x"]).columns == df.columns
     assert impute(df, ["x", "absent"]).columns == df.columns
     assert impute(df, ["absent"]).columns == df.columns
+
+
+@pytest.mark.parametrize("chunk_days", [1, 400])
+@pytest.mark.parametrize("window", [WIDE, 1_001])
+def test_wide_windows_slide(spark, window, chunk_days):
+    made = ragged(11)
+    rng = random.Random(2)
+    time, rows = datetime(2024, 1, 1), []
+    for i in range(260):
+        time += timedelta(minutes=15 * rng.choice([1, 1, 30, 200]))
+        rows.append((time, None if rng.random() < 0.2 else float(rng.randint(0, 30)), 400.0 if i == 120 else round(rng.random(), 2)))
+    made[7] = rows
+    df = frame(spark, made)
+    for step, plain, suffix in ((rolling_median, rolled, "_median"), (rolling_mad, mads, "_mad")):
+        found = step(df, ["x", "y"], window, chunk_days=chunk_days)
+        assert found.columns == [*df.columns, f"x{suffix}", f"y{suffix}"]
+        assert back(found, (f"x{suffix}", f"y{suffix}")) == expected(made, lambda v: plain(v, window))
+    found = hampel(df, ["x", "y"], window, flag_prefix="_f_", chunk_days=chunk_days)
+    assert back(found) == expected(made, lambda v: filtered(v, window))
+    assert found.where("_f_y").count() >= 1 and found.columns == [*df.columns, "_f_x", "_f_y"]
+
+
+def test_sliding_medians_cost_little_more_in_wider_windows():
+    values = np.random.default_rng(1).normal(size=20_000)
+    seconds = {}
+    for half in (50, 500, 5_000):
+        start = perf_counter()
+        found = sliding_median(values, half)
+        seconds[half] = perf_counter() - start
+        for at in (0, 7, 9_999, 19_999):
+            assert found[at] == np.median(values[max(0, at - half) : at + half + 1])
+    assert seconds[5_000] < 20 * seconds[50] + 0.5
+    odd = sliding_median(np.array([np.nan, 1.0, np.inf, np.nan, 3.0]), 1)
+    assert odd.tolist()[:2] == [1.0, np.inf] and odd.tolist()[4] == 3.0
