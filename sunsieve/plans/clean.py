@@ -130,9 +130,13 @@ def _measured_run(rows: DataFrame, land, steps: Sequence[Step], chunk_days: int)
         telling = _TELLING.get(step)
         rows = _applied(rows, step, (lambda df: telling[0](df, hit)) if telling else step, chunk_days)
         _need_columns(step, rows.columns, [*before, hit] if telling else before)
-        rows = rows.withColumn(f"_missing_{i + 1}", _missing(rows))
+        if i + 1 < len(steps):
+            rows = rows.withColumn(f"_missing_{i + 1}", _missing(rows))
     rows = land(rows.drop(*KEYS))
     flags = [c for c in rows.columns if c not in names]
+    # What the last step leaves is counted on the rows as written, so that its expressions stand in the plan once.
+    rows = rows.withColumn(last := f"_missing_{len(steps)}", _missing(rows))
+    flags.append(last)
     sums = rows.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in flags)).first()
     out = []
     for i, step in enumerate(steps):
