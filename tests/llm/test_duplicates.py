@@ -41,9 +41,9 @@ def brute(rows):
     return Counter((doc, len(s), best[find(i)] if s else doc) for i, ((doc, *_), s) in enumerate(zip(rows, sets)))
 
 
-def found(spark, rows):
+def found(spark, rows, **bounds):
     df = spark.createDataFrame([(d, t) for d, t, *_ in rows], "doc_id long, text string").repartition(5)
-    return Counter(tuple(r) for r in near_duplicates(df, counters=1 << 12).collect())
+    return Counter(tuple(r) for r in near_duplicates(df, counters=1 << 12, **bounds).collect())
 
 
 def mutated(rnd, base, n):
@@ -53,7 +53,8 @@ def mutated(rnd, base, n):
     return " ".join(out)
 
 
-def test_groups_are_those_of_all_pairs(spark):
+@pytest.mark.parametrize("bounds", [{}, {"crowd": 3, "block": 2}])
+def test_groups_are_those_of_all_pairs(spark, bounds):
     rnd = random.Random(4)
     rows = []
     passage = [f"p{i}" for i in range(30)]
@@ -66,8 +67,29 @@ def test_groups_are_those_of_all_pairs(spark):
     chain = [f"c{i}" for i in range(200)]
     for k in range(12):  # each like the next, the ends unlike each other
         rows.append((len(rows) + 1, " ".join(chain[12 * k : 12 * k + 130])))
+    for k in range(15):  # a passage that no two of them may link by, and one that all of some size may
+        rows.append((len(rows) + 1, " ".join([*passage[:28], *(f"o{k}_{i}" for i in range(10))])))
+        rows.append((len(rows) + 1, " ".join([*passage[::-1], *(f"n{k}_{i}" for i in range(k % 5))])))
     rnd.shuffle(rows)
-    assert found(spark, rows) == brute(rows)
+    assert found(spark, rows, **bounds) == brute(rows)
+
+
+def test_a_passage_below_the_threshold_makes_no_pairs(spark):
+    passage = [f"p{i}" for i in range(90)]
+    rows = [(k, " ".join([*passage, *(f"o{k}_{i}" for i in range(15))])) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scanned = ngram_join._scan(df, 5, 1 << 12).cache()
+    shared = ngram_join._shared(ngram_join._index(df, ngram_join._frequencies(scanned, 1 << 12), 5, 80))
+    known = spark.createDataFrame([], "node long, label long")
+    assert shared.select("node").distinct().count() == 60
+    assert ngram_join._blocked(shared, known, 80, 8).isEmpty()
+    assert {r.component_id for r in near_duplicates(df).collect()} == set(range(60))
+
+
+def test_rows_that_repeat_an_id_meet_once(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(7, " ".join(base)), (7, " ".join(base[:58])), (7, " ".join(base[:58])), (None, " ".join(base[3:])), (None, "a b"), (2, "a  b")]
+    assert found(spark, rows * 3) == brute(rows * 3)
 
 
 def test_odd_documents(spark):
