@@ -18,7 +18,7 @@ from sunsieve.llm.ngram_join import near_duplicates
 from sunsieve.llm.packing import pack_documents
 from sunsieve.llm.permuterm import spelling_groups
 from sunsieve.llm.perspectives import rotate
-from sunsieve.llm.secret_scan import KINDS, find_secrets, labelled_runs, spelled, train
+from sunsieve.llm.secret_scan import KINDS, find_secrets, spelled, train_on
 from sunsieve.llm.separators import count_tokens
 from sunsieve.llm.sql import archives_sql, divergence_sql, negatives_sql, perspectives_sql
 from sunsieve.llm.tokenizer import vocabulary
@@ -47,7 +47,7 @@ def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_secrets(docs, train(labelled_runs(docs)))
+    found = find_secrets(docs, train_on(docs))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

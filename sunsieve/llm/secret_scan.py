@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sunsieve.llm.common import Batches, runs, text_of
 
@@ -136,58 +137,78 @@ def fit(random: np.ndarray, ordinary: np.ndarray, log_odds: float = LOG_ODDS) ->
     return Models(logs(random) - logs(ordinary), log_odds)
 
 
+def _training_texts(docs: DataFrame, documents: int) -> DataFrame:
+    """A bounded sample of texts, equal ones taken once: those with the smallest hashes."""
+    # At or below the cut are few texts, in any number of copies: one row of each hash stays.
+    hashed = docs.select(text_of().alias("text")).withColumn("h", F.xxhash64("text"))
+    sample = hashed.select("h").distinct().orderBy("h").limit(documents)
+    least = sample.agg(F.max("h").alias("most")).first().most
+    few = hashed.where(F.col("h") <= F.lit(least)) if least is not None else hashed.limit(0)
+    return few.groupBy("h").agg(F.min("text").alias("text")).select("text")
+
+
+def _label(batches: Batches) -> Batches:
+    for batch in batches:
+        for run in runs(batch, "text"):
+            labels, values = [], []
+            for text in run.column("text").to_pylist():
+                taken = base_spans(text)
+                values += [x.value for x in taken]
+                labels += [True] * len(taken)
+                plain = ordinary_samples(text, taken)
+                values += plain
+                labels += [False] * len(plain)
+            columns = [pa.array(labels, pa.bool_()), pa.array(values, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["random", "run"])
+
+
+def _count(batches: Batches) -> Batches:
+    counts = np.zeros((4, _STATES * _STATES), dtype=np.int64)
+    for batch in batches:
+        digits = pc.match_substring_regex(batch.column("run"), "[0-9]")
+        for label, digit in ((False, False), (False, True), (True, False), (True, True)):
+            own = pc.and_(pc.equal(batch.column("random"), label), pc.equal(digits, digit))
+            joined = "\n".join(x for x in batch.column("run").filter(pc.fill_null(own, False)).to_pylist() if x)
+            codes = np.frombuffer(joined.encode("ascii", "replace"), dtype=np.uint8)
+            at = _PLACE[np.minimum(codes, 127)]  # the line end is no known character: a start state
+            seen = np.concatenate(([len(ALPHABET)], at[:-1])) * _STATES + at
+            counts[2 * label + digit] += np.bincount(seen[codes != 10], minlength=_STATES * _STATES)
+    of, pair = np.nonzero(counts)
+    columns = [pa.array(of), pa.array(pair), pa.array(counts[of, pair])]
+    yield pa.RecordBatch.from_arrays(columns, names=["of", "pair", "n"])
+
+
+_COUNTED = "of long, pair long, n long"
+
+
+def _fitted(counted: DataFrame, log_odds: float) -> Models:
+    counts = np.zeros((4, _STATES * _STATES))
+    for row in counted.groupBy("of", "pair").agg(F.sum("n").alias("n")).collect():
+        counts[row.of, row.pair] = row.n
+    return fit(counts[2:], counts[:2], log_odds)
+
+
 def labelled_runs(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> DataFrame:
     """(random, run): labelled samples from a bounded sample of documents, equal texts taken once.
 
     Values of base spans are random. Ordinary are words, numbers and runs made of both, of five
     characters and more, that no base span touches; a run that looks random has no label.
     """
-
-    def step(batches: Batches) -> Batches:
-        for batch in batches:
-            for run in runs(batch, "text"):
-                labels, values = [], []
-                for text in run.column("text").to_pylist():
-                    taken = base_spans(text)
-                    values += [x.value for x in taken]
-                    labels += [True] * len(taken)
-                    plain = ordinary_samples(text, taken)
-                    values += plain
-                    labels += [False] * len(plain)
-                yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(values, pa.string())], names=["random", "run"])
-
-    # At or below the cut are few texts, in any number of copies: one row of each hash stays.
-    hashed = docs.select(text_of().alias("text")).withColumn("h", F.xxhash64("text"))
-    sample = hashed.select("h").distinct().orderBy("h").limit(documents)
-    least = sample.agg(F.max("h").alias("most")).first().most
-    few = hashed.where(F.col("h") <= F.lit(least)) if least is not None else hashed.limit(0)
-    few = few.groupBy("h").agg(F.min("text").alias("text")).select("text")
-    return few.mapInArrow(step, "random boolean, run string")
+    return _training_texts(docs, documents).mapInArrow(_label, "random boolean, run string")
 
 
 def train(samples: DataFrame, log_odds: float = LOG_ODDS) -> Models:
     """Fit the models to labelled samples (random, run); only counts of character pairs are gathered."""
+    return _fitted(samples.select("random", "run").mapInArrow(_count, _COUNTED), log_odds)
 
-    def step(batches: Batches) -> Batches:
-        counts = np.zeros((4, _STATES * _STATES), dtype=np.int64)
-        for batch in batches:
-            digits = pc.match_substring_regex(batch.column("run"), "[0-9]")
-            for label, digit in ((False, False), (False, True), (True, False), (True, True)):
-                own = pc.and_(pc.equal(batch.column("random"), label), pc.equal(digits, digit))
-                joined = "\n".join(x for x in batch.column("run").filter(pc.fill_null(own, False)).to_pylist() if x)
-                codes = np.frombuffer(joined.encode("ascii", "replace"), dtype=np.uint8)
-                at = _PLACE[np.minimum(codes, 127)]  # the line end is no known character: a start state
-                seen = np.concatenate(([len(ALPHABET)], at[:-1])) * _STATES + at
-                counts[2 * label + digit] += np.bincount(seen[codes != 10], minlength=_STATES * _STATES)
-        of, pair = np.nonzero(counts)
-        columns = [pa.array(of), pa.array(pair), pa.array(counts[of, pair])]
-        yield pa.RecordBatch.from_arrays(columns, names=["of", "pair", "n"])
-
-    counted = samples.select("random", "run").mapInArrow(step, "of long, pair long, n long")
-    counts = np.zeros((4, _STATES * _STATES))
-    for row in counted.groupBy("of", "pair").agg(F.sum("n").alias("n")).collect():
-        counts[row.of, row.pair] = row.n
-    return fit(counts[2:], counts[:2], log_odds)
+
+def train_on(docs: DataFrame, documents: int = TRAINING_DOCUMENTS, log_odds: float = LOG_ODDS) -> Models:
+    """`train(labelled_runs(docs))`, with samples labelled and counted by one Python worker a task.
+
+    Two steps in Python after one another take two workers a task, and Spark keeps those for later ones.
+    """
+    counted = _training_texts(docs, documents).mapInArrow(lambda batches: _count(_label(batches)), _COUNTED)
+    return _fitted(counted, log_odds)
 
 
 def scan(text: str, models: Models) -> list[tuple[str, int, int, float]]:
@@ -214,11 +235,14 @@ def find_secrets(docs: DataFrame, models: Models) -> DataFrame:
     """The documents with `secrets`, an array of spans by start and then kind, and `redacted`, the text without them.
 
     A null text has no spans and stays null; columns of the same names are replaced. Whole texts
-    are scanned, row by row: nothing is shuffled and the rows stay where they are.
+    are scanned, row by row: nothing is shuffled and the rows stay where they are. A text goes to
+    the Python worker and back once; what comes back besides it are texts with secrets only.
     """
     text = F.col("text").cast("string")
     kept = [c for c in docs.columns if c not in ("secrets", "redacted")]
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), text.alias("text"))
+    # A text that is no plain string is handed on as it is, beside the string that is scanned.
+    plain = {f.name for f in docs.schema if f.name == "text" and f.dataType == StringType()}
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept if c not in plain)).alias("row"), text.alias("text"))
     schema = rows.select("row").schema.simpleString()[len("struct<row:") : -1]
     kinds = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
@@ -227,13 +251,14 @@ def find_secrets(docs: DataFrame, models: Models) -> DataFrame:
             for run in runs(batch, "text"):
                 texts = run.column("text").to_pylist()
                 found = [scan(x, models) if x else [] for x in texts]
-                clean = [redact(x, spans) if spans else x for x, spans in zip(texts, found)]
+                clean = [redact(x, spans) if spans else None for x, spans in zip(texts, found)]
                 spans = [[dict(zip(("kind", "start", "end", "score"), s)) for s in spans] for spans in found]
-                columns = [run.column("row"), pa.array(spans, kinds), pa.array(clean, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "secrets", "redacted"])
+                columns = [run.column("row"), run.column("text"), pa.array(spans, kinds), pa.array(clean, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "text", "secrets", "redacted"])
 
-    found = rows.mapInArrow(step, f"row {schema}, secrets array<{SPAN}>, redacted string")
-    return found.select(*(F.col("row").getField(c).alias(c) for c in kept), "secrets", "redacted")
+    found = rows.mapInArrow(step, f"row {schema}, text string, secrets array<{SPAN}>, redacted string")
+    own = (F.col("text") if c in plain else F.col("row").getField(c).alias(c) for c in kept)
+    return found.select(*own, "secrets", F.coalesce("redacted", "text").alias("redacted"))
 
 
 def spelled(spans: Column) -> Column:

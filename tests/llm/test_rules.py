@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sunsieve.llm import divergence, perspectives, queries, secret_scan
-from sunsieve.llm.secret_scan import find_secrets, labelled_runs, scan, spelled, train
+from sunsieve.llm.secret_scan import find_secrets, labelled_runs, scan, spelled, train, train_on
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -178,6 +178,50 @@ def test_secrets_of_odd_documents(spark):
     assert find_secrets(none, train(labelled_runs(none))).isEmpty()
 
 
+def python_inputs(df):
+    """What each Python step of the plan gets, as a schema."""
+    found, todo = [], [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+        if node.nodeName() == "MapInArrow":
+            found.append(node.child().schema().simpleString())
+    return found
+
+
+def test_a_text_goes_to_python_once(spark):
+    docs = odd.documents(spark)
+    found = find_secrets(docs, train(spark.createDataFrame([], "random boolean, run string")))
+    (given,) = python_inputs(found)
+    assert given.count("text:") == 1 and "lang:" in given
+
+
+def test_one_python_step_labels_and_counts(spark, monkeypatch):
+    seen = []
+    fitted = secret_scan._fitted
+    monkeypatch.setattr(secret_scan, "_fitted", lambda counted, odds: seen.append(len(python_inputs(counted))) or fitted(counted, odds))
+    docs = odd.documents(spark, [*odd.ROWS, *((k, f"page {k} of chapter-{k} says password={k:08x}ab", "en") for k in range(20, 50))])
+    for documents in (10, 5_000):
+        want = train(labelled_runs(docs, documents)).ratio
+        assert (train_on(docs, documents).ratio == want).all() and want.any()
+    assert seen == [2, 1, 2, 1]
+    none = odd.documents(spark, [])
+    assert (train_on(none).ratio == train(labelled_runs(none)).ratio).all()
+
+
+def test_secrets_of_tables_with_texts_alone_or_of_another_type(spark):
+    rows = [(1, "say token=abcdefgh", "en"), (2, None, "en"), (3, "", "en"), (4, "plain", "en")]
+    docs = odd.documents(spark, rows)
+    models = train(spark.createDataFrame([], "random boolean, run string"))
+    want = Counter((t, "say [assign]" if t and "token" in t else t) for _, t, _ in rows)
+    alone = find_secrets(docs.select("text"), models)
+    assert alone.columns == ["text", "secrets", "redacted"] and Counter((r.text, r.redacted) for r in alone.collect()) == want
+    coded = find_secrets(docs.withColumn("text", F.col("text").cast("binary")), models)
+    assert dict(coded.dtypes)["text"] == "binary"
+    assert Counter((None if r.text is None else bytes(r.text).decode(), r.redacted) for r in coded.collect()) == want
+
+
 def plain_rotation(rows):
     out, groups = [], defaultdict(list)
     for conv, turn, role, text in rows:
